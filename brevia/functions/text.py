@@ -13,6 +13,7 @@ from brevia.functions.stopwords import resolve
 TAG = r"<[^>]*>"
 NON_WORD = r"[^\w\s]"
 TOKEN = r"[^ \t\n\r\f]+"
+CLEAN_TOKEN = r"[\w\x0B]+"
 LETTER_RUN = r"[\p{L}_]+"
 NON_LETTER = r"[^a-zA-Z]"
 ATTRIBUTED_ELEMENTS = ("catchphrase",)
@@ -46,7 +47,13 @@ def remove_stop_words(tokens: Column, stop_words: Iterable[str] | None = None) -
 
 
 def clean_tokens(text: Column, stop_words: Iterable[str] | None = None) -> Column:
-    return remove_stop_words(tokenize(punct_to_space(strip_tags(text))), stop_words)
+    """Tags out, other characters to blanks, tokens without stop words.
+
+    What ``punct_to_space`` leaves between token delimiters is a run of word
+    characters and vertical tabs, so those runs are extracted in one pass.
+    """
+    runs = F.regexp_extract_all(strip_tags(text), F.lit(CLEAN_TOKEN), 0)
+    return remove_stop_words(runs, stop_words)
 
 
 def clean_sentence(text: Column, stop_words: Iterable[str] | None = None) -> Column:

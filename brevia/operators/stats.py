@@ -9,7 +9,9 @@ hint; the planner broadcasts them only when their measured size allows it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brevia.functions import text as tx
@@ -40,18 +42,39 @@ def term_share(tf: DataFrame) -> DataFrame:
     return tf.join(doc_totals(tf), "doc_id").select("doc_id", "term", "n", "doc_total")
 
 
+def document_shares(docs: DataFrame, stop_words: Iterable[str] | None = None) -> DataFrame:
+    """:func:`term_share` for a table with one row per document.
+
+    The row knows its own total, so it travels with the term: one exchange on
+    (document, term) replaces the count, the totals and the join.
+    """
+    lines = F.transform(F.split("text", "\n"), lambda line: tx.clean_tokens(line, stop_words))
+    return (
+        docs.select("doc_id", F.flatten(lines).alias("tokens"))
+        .select("doc_id", F.size("tokens").cast("long").alias("doc_total"), F.explode_outer("tokens").alias("term"))
+        .where("term IS NOT NULL")
+        .groupBy("doc_id", "doc_total", "term")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("doc_id", "term", "n", "doc_total")
+    )
+
+
 def doc_freq(tf: DataFrame) -> DataFrame:
-    """Documents holding each term: ``(term, df)``."""
-    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    """Documents holding each term: ``(term, df)``.
 
+    The sum reads ``n`` so that the plan below keeps the same columns as the rows it
+    is joined with, and both share one exchange instead of tokenising twice.
+    """
+    return tf.groupBy("term").agg(F.sum((F.col("n") > 0).cast("long")).alias("df"))
 
-def tfidf(tf: DataFrame, n_docs: Column) -> DataFrame:
-    """``(doc_id, term, tfidf)``; a term of every document keeps weight tf.
+
+def tfidf(shares: DataFrame, n_docs: Column) -> DataFrame:
+    """``(doc_id, term, tfidf)`` from term shares; a term of every document keeps weight tf.
 
     ``n_docs`` is a scalar (see ``sources.documents.n_docs``), so no cross join.
     """
     share = F.col("n") / F.col("doc_total")
-    weighted = term_share(tf).join(doc_freq(tf), "term").withColumn("n_docs", n_docs)
+    weighted = shares.join(doc_freq(shares), "term").withColumn("n_docs", n_docs)
     return weighted.select(
         "doc_id",
         "term",
@@ -88,8 +111,6 @@ def positional_vectors(weights: DataFrame) -> DataFrame:
     number of terms under smaller such heads. A token has at most 64 x 64 heads,
     which bounds the second window.
     """
-    from pyspark.sql import Window
-
     headed = weights.withColumn("head", F.substring("term", 1, 2))
     before = (
         Window.partitionBy("doc_id")

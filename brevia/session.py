@@ -17,6 +17,7 @@ def local_session(cpus: int | str = "*", app: str = "brevia") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BREVIA_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else str(cpus))
         .config("spark.sql.session.timeZone", "UTC")

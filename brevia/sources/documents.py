@@ -17,8 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out when the scan has fewer splits than the cluster has cores.
+
+    Cleaning is CPU-bound, and a small file with one row group would be one task. A
+    large table already has more splits than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def read_lines(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
@@ -53,7 +63,7 @@ def n_docs(docs: DataFrame) -> Column:
 
 def sentences(docs: DataFrame) -> DataFrame:
     """Newline-separated lines of each document as ``(doc_id, pos, raw)``."""
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
+    return docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("pos", "raw"))
 
 
 def clean(sents: DataFrame, stop_words: Iterable[str] | None = None) -> DataFrame:
@@ -66,9 +76,10 @@ def clean(sents: DataFrame, stop_words: Iterable[str] | None = None) -> DataFram
 def terms(sents: DataFrame, stop_words: Iterable[str] | None = None) -> DataFrame:
     """Kept tokens as rows ``(doc_id, pos, term)``.
 
-    Exploding before the stop-word test keeps the test inside generated code.
+    ``explode_outer`` keeps the optimiser from adding a size filter below the
+    generator, which would tokenise every sentence once more.
     """
-    tokens = tx.tokenize(tx.punct_to_space(tx.strip_tags(F.col("raw"))))
-    return sents.select("doc_id", "pos", F.explode(tokens).alias("term")).where(
-        tx.is_kept(F.col("term"), stop_words)
+    tokens = tx.clean_tokens(F.col("raw"), stop_words)
+    return sents.select("doc_id", "pos", F.explode_outer(tokens).alias("term")).where(
+        "term IS NOT NULL"
     )

@@ -41,7 +41,7 @@ def _ctes() -> dict[str, str]:
     langs = ", ".join(f"'{lang}'" for lang in LANGUAGE_POS)
     rank_case = " ".join(f"WHEN '{p}' THEN {i}" for i, p in enumerate(LANGUAGE_POS.values()))
     return {
-        "lines": """SELECT doc_id, i - 1 AS pos, raw FROM (
+        "lines": """SELECT doc_id, (i - 1)::INT AS pos, raw FROM (
             SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
                    generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents )""",
         "clean": f"""SELECT doc_id, pos, {clean_list} AS tokens,
@@ -93,7 +93,7 @@ def _ctes() -> dict[str, str]:
             JOIN assigned USING (doc_id)
             JOIN (SELECT cluster, count(*) AS size FROM assigned GROUP BY cluster) USING (cluster)
             GROUP BY cluster, term""",
-        "reps": """SELECT cluster, 1 AS rank, doc_id, distance FROM assigned
+        "reps": """SELECT cluster, 1::INT AS rank, doc_id, distance FROM assigned
             QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY distance, doc_id) = 1""",
     }
 
@@ -124,7 +124,7 @@ def oracle_sql() -> dict[str, str]:
     letters = f"<catchphrase [^>]*>.*?</catchphrase>|{bare}|<[^>]+>"
     round9 = "round({0}, 9) AS {0}"
     return {
-        "tagged_records": """SELECT page_id AS doc_id, i - 1 AS pos, raw FROM (
+        "tagged_records": """SELECT page_id AS doc_id, (i - 1)::INT AS pos, raw FROM (
             SELECT page_id, unnest(regexp_extract_all(html, '(?s)<p>.*?</p>')) AS raw,
                    generate_subscripts(regexp_extract_all(html, '(?s)<p>.*?</p>'), 1) AS i
             FROM pages)""",
@@ -194,12 +194,14 @@ def oracle_sql() -> dict[str, str]:
         + """SELECT doc_id, pos, sentence FROM clean SEMI JOIN
             (SELECT doc_id, pos FROM terms SEMI JOIN frequent USING (term)) USING (doc_id, pos)""",
         "summary_top_rank": _with("best").rstrip("\n")
-        + """, grams AS (SELECT score, sentence, list_distinct(list_transform(
-            range(1, length(sentence) - 1), lambda i: sentence[i:i+2])) AS g FROM best)
-            SELECT score, sentence FROM grams a WHERE NOT EXISTS (
-                SELECT 1 FROM grams b WHERE b.sentence > a.sentence AND len(a.g) > 0 AND len(b.g) > 0
-                AND len(list_intersect(a.g, b.g)) >= 0.8 *
-                    (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g))))""",
+        + """, grams AS (SELECT sentence, list_distinct(list_transform(
+            range(1, length(sentence) - 1), lambda i: sentence[i:i+2])) AS g FROM best),
+            shared AS (SELECT a.sentence, len(a.g) + len(b.g) AS m,
+                len(list_intersect(a.g, b.g)) AS s FROM grams a JOIN grams b
+                ON b.sentence > a.sentence
+                AND 10 * least(len(a.g), len(b.g)) >= 8 * greatest(len(a.g), len(b.g)))
+            SELECT score, sentence FROM best WHERE sentence NOT IN (
+                SELECT sentence FROM shared WHERE s > 0 AND s >= 0.8 * (m - s))""",
         "cluster_seeds": _with("weights").rstrip("\n")
         + ",\n"
         + _SPARSE
@@ -220,7 +222,11 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _near_dup(source: str) -> str:
-    """Exact pass over all sentences: pairs that share one of their rarest shingles."""
+    """Exact pass over all sentences: similar pairs share 12 of their rarest shingles.
+
+    With shingles ranked rarest first, sets with Jaccard >= 0.8 share at least 12 of
+    their first ``m - ceil(0.8 m) + 12`` ones, or all they must share if that is less.
+    """
     return (
         _with("clean").rstrip("\n")
         + f""",
@@ -231,12 +237,14 @@ def _near_dup(source: str) -> str:
         cells AS (SELECT id, len(g) AS m, unnest(g) AS shingle FROM profiled),
         ranked AS (SELECT id, m, shingle, row_number() OVER (PARTITION BY id ORDER BY f, shingle) AS r
             FROM cells JOIN (SELECT shingle, count(*) AS f FROM cells GROUP BY shingle) USING (shingle)),
-        prefix AS (SELECT id, m, shingle FROM ranked WHERE r <= m - ceil(m * 8 / 10.0) + 1),
-        pairs AS (SELECT DISTINCT a.id AS a, b.id AS b FROM prefix a JOIN prefix b
+        prefix AS (SELECT id, m, shingle FROM ranked WHERE r <= m - ceil(m * 8 / 10.0) + 12),
+        pairs AS (SELECT a.id AS a, b.id AS b FROM prefix a JOIN prefix b
             ON a.shingle = b.shingle AND a.id < b.id
-            AND 10 * least(a.m, b.m) >= 8 * greatest(a.m, b.m)),
-        dropped AS (SELECT DISTINCT x.sentence FROM pairs JOIN profiled x ON x.id = a
-            JOIN profiled y ON y.id = b WHERE len(list_intersect(x.g, y.g)) >= 0.8 *
-            (len(x.g) + len(y.g) - len(list_intersect(x.g, y.g))))
+            AND 10 * least(a.m, b.m) >= 8 * greatest(a.m, b.m)
+            GROUP BY a.id, b.id
+            HAVING count(*) >= least(12, ceil(any_value(greatest(a.m, b.m)) * 8 / 10.0))),
+        shared AS (SELECT x.sentence, len(x.g) + len(y.g) AS m, len(list_intersect(x.g, y.g)) AS s
+            FROM pairs JOIN profiled x ON x.id = a JOIN profiled y ON y.id = b),
+        dropped AS (SELECT DISTINCT sentence FROM shared WHERE s >= 0.8 * (m - s))
         """
     )

@@ -21,6 +21,14 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -53,14 +61,15 @@ def compare(spark, con, folder: str, name: str) -> str:
     start = time.time()
     rel = con.sql(sql)
     columns = rel.columns
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     want = rows_of(columns, rel.fetchall())
     duck_s = time.time() - start
     note = f"{name} {len(got)}/{len(want)} rows, spark {spark_s:.1f}s sql {duck_s:.1f}s"
     if sorted(columns) != sorted(df.columns):
         return f"DIFF  {note} columns {sorted(df.columns)} {sorted(columns)}"
+    odd = {c: (t, duck_types[c]) for c, t in df.dtypes if duck_types[c] != TYPES[t]}
     if got == want:
-        types = dict(df.dtypes)
-        return f"OK    {note} {types}"
+        return f"DIFF  {note} types {odd}" if odd else f"OK    {note}"
     odd = [(a, b) for a, b in zip(got, want) if a != b][:2]
     return f"DIFF  {note} {str(odd)[:600]}"
 

@@ -168,17 +168,29 @@ def char_shingles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def jaccard_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Similarity of each sentence to the next one of its document."""
-    grams = _clean(spark, d).select(
-        "doc_id", "pos", sh.char_shingles(F.col("sentence")).alias("grams")
+    """Similarity of each sentence to the next one of its document, without a shuffle."""
+
+    def neighbours(g):
+        starts = F.when(F.size(g) > 1, F.sequence(F.lit(0), F.size(g) - 2))
+        return F.transform(
+            starts, lambda i: F.struct(F.get(g, i).alias("a"), F.get(g, i + 1).alias("b"))
+        )
+
+    grams = F.transform(
+        F.split("text", "\n"), lambda line: sh.shingle_codes(tx.clean_sentence(line))
     )
-    nxt = grams.select("doc_id", (F.col("pos") - 1).alias("pos"), F.col("grams").alias("next_grams"))
-    both = grams.join(nxt, ["doc_id", "pos"])
-    return both.where((F.size("grams") > 0) | (F.size("next_grams") > 0)).select(
-        "doc_id",
-        "pos",
-        F.round(sh.jaccard(F.col("grams"), F.col("next_grams")), 9).alias("similarity"),
-        sh.similar(F.col("grams"), F.col("next_grams")).alias("is_similar"),
+    pairs = F.get(F.transform(F.array(grams), neighbours), F.lit(0))
+    a, b = F.col("p.a"), F.col("p.b")
+    return (
+        src.documents(spark, d)
+        .select("doc_id", F.posexplode_outer(pairs).alias("pos", "p"))
+        .where((F.size(a) > 0) | (F.size(b) > 0))
+        .select(
+            "doc_id",
+            "pos",
+            F.round(sh.jaccard(a, b), 9).alias("similarity"),
+            sh.similar(a, b).alias("is_similar"),
+        )
     )
 
 

@@ -23,6 +23,8 @@ def local_session(cpus: int | str = "*", app: str = "brevia") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # hash joins instead of sorts where every measured partition is small
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .getOrCreate()
     )
 

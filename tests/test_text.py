@@ -1,0 +1,169 @@
+"""Micro fixtures for the cleaning and statistics rules."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from brevia.functions import shingles as sh
+from brevia.functions import stopwords
+from brevia.functions import text as tx
+from brevia.operators import lexicon, ranking, stats
+from brevia.sources import documents as src
+
+STOP = ("the", "and", "a", "c", "can", "t")
+
+
+def one(spark, expr, value):
+    return spark.createDataFrame([(value,)], "s string").select(expr(F.col("s"))).first()[0]
+
+
+def docs_of(spark, *texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def weights_of(spark, *texts, stop=()):
+    docs = docs_of(spark, *texts)
+    return stats.tfidf(stats.document_shares(docs, stop), src.n_docs(docs))
+
+
+def test_stop_words_ignore_case_but_counts_do_not(spark):
+    docs = docs_of(spark, "The Court and the court")
+    counts = stats.word_count(src.terms(src.sentences(docs), STOP))
+    assert {r.term: r.n for r in counts.collect()} == {"Court": 1, "court": 1}
+
+
+@pytest.mark.parametrize(
+    "raw, cleaned",
+    [
+        ("foo<b>bar</b> a<c", "foobar"),
+        ("café can't x_1", "caf x_1"),
+        ("x<i\n>y  z", "xy z"),
+        ("the and", ""),
+        ("p\x0bq r", "p\x0bq r"),
+    ],
+)
+def test_clean_sentence(spark, raw, cleaned):
+    assert one(spark, lambda s: tx.clean_sentence(s, STOP), raw) == cleaned
+
+
+def test_one_pass_tokens_equal_the_three_steps(spark):
+    raw = "Ab-c <x y='1'>d</x>, é_é \x0b 9.5\tq\x0bq < z >"
+    steps = lambda s: tx.tokenize(tx.punct_to_space(tx.strip_tags(s)))
+    assert one(spark, lambda s: tx.clean_tokens(s, ()), raw) == one(spark, steps, raw)
+
+
+def test_drop_elements(spark):
+    raw = "<name>no</name>a<catchphrase \"id=1\">no</catchphrase>b<AustLII>no</AustLII><p>c</p>"
+    assert one(spark, tx.drop_elements, raw) == "abc"
+    assert one(spark, tx.drop_elements, "<name>x\ny</name>") == "x\ny"
+
+
+def test_letter_tokens_keep_accents_and_fold_case(spark):
+    assert one(spark, lambda s: tx.letter_tokens(s, ["THE"]), "The Été_x 12b") == ["été_x", "b"]
+
+
+def test_distinct_letter_terms(spark):
+    assert one(spark, lambda s: tx.distinct_letter_terms(s, STOP), "ab1ab The z-z") == ["ab", "z"]
+
+
+def test_round2_uses_the_binary_product(spark):
+    got = spark.createDataFrame([(0.285,), (0.125,)], "x double").select(tx.round2(F.col("x")))
+    assert [r[0] for r in got.collect()] == [0.28, 0.13]
+
+
+def test_default_and_custom_stop_words(spark, tmp_path):
+    words = stopwords.default_stop_words()
+    assert "don" in words and "don't" not in words and len(words) == len(set(words))
+    path = tmp_path / "stop.txt"
+    path.write_text("Foo\nbar\nfoo\n")
+    assert stopwords.load_stop_words(spark, str(path)) == ("bar", "foo")
+
+
+def test_tfidf_of_a_term_in_every_document_is_its_share(spark):
+    got = {(r.doc_id, r.term): r.tfidf for r in weights_of(spark, "apple", "apple pear").collect()}
+    assert got[(0, "apple")] == 1.0 and got[(1, "apple")] == 0.5
+    assert math.isclose(got[(1, "pear")], 0.5 * math.log10(2))
+
+
+def test_corpus_size_counts_documents_without_tokens(spark):
+    got = {r.term: r.tfidf for r in weights_of(spark, "x", "y y", "the", stop=STOP).collect()}
+    assert math.isclose(got["x"], math.log10(3)) and math.isclose(got["y"], math.log10(3))
+
+
+def test_row_totals_equal_joined_totals(spark):
+    docs = docs_of(spark, "a b\nb c", "", "c c c\n\nd")
+    row = stats.document_shares(docs, ())
+    joined = stats.term_share(stats.term_freq(src.terms(src.sentences(docs), ())))
+    assert sorted(row.collect()) == sorted(joined.collect())
+    assert row.count() == 5
+
+
+def test_letter_weights_take_the_byte_greatest_term(spark):
+    rows = [(0, "Section", 0.1), (0, "Section2", 0.3), (0, "2", 0.9), (1, "Section", 0.7)]
+    weights = spark.createDataFrame(rows, "doc_id long, term string, tfidf double")
+    got = {(r.doc_id, r.term): r.tfidf for r in stats.letter_weights(weights).collect()}
+    assert got == {(0, "Section"): 0.3, (1, "Section"): 0.7}
+    terms = spark.createDataFrame([(0, 0, "Section2"), (0, 1, "Section")], "doc_id long, pos int, term string")
+    scores = ranking.sentence_scores(terms, stats.letter_weights(weights))
+    assert {r.pos: r.score for r in scores.collect()} == {0: 0.0, 1: 0.3}
+
+
+def test_positional_vectors_follow_term_order(spark):
+    rows = [(0, "b", 0.285), (0, "a", 0.5), (0, "ab2", 0.2), (0, "ab", 0.1), (1, "z", 1.0)]
+    weights = spark.createDataFrame(rows, "doc_id long, term string, tfidf double")
+    got = sorted(tuple(r) for r in stats.positional_vectors(weights).collect())
+    assert got == [(0, 0, 0.5), (0, 1, 0.1), (0, 2, 0.2), (0, 3, 0.28), (1, 0, 1.0)]
+
+
+def test_sentences_without_tokens_are_not_ranked_and_order_is_numeric(spark):
+    clean = src.clean(src.sentences(docs_of(spark, "the\nlow\nhigh\nhigh")), STOP)
+    rows = [(0, 1, 1, 0.00091), (0, 2, 1, 0.05), (0, 3, 1, 0.05)]
+    scores = spark.createDataFrame(rows, "doc_id long, pos int, n_tokens long, score double")
+    got = [tuple(r) for r in ranking.top_sentences(scores, clean).collect()]
+    assert got == [(0.05, "high"), (0.00091, "low")]
+    terms = src.terms(src.sentences(docs_of(spark, "the\nx")), STOP)
+    weights = spark.createDataFrame([(0, "x", 1.0)], "doc_id long, term string, tfidf double")
+    assert ranking.sentence_scores(terms, weights).select("pos").collect() == [(1,)]
+
+
+@pytest.mark.parametrize("bound", [10, 0])
+def test_topic_terms_inlined_and_joined_agree(spark, monkeypatch, bound):
+    monkeypatch.setattr(ranking.bounded_terms, "__defaults__", (bound,))
+    sents = src.sentences(docs_of(spark, "Court rose\nno hit\ncourt court"))
+    clean, terms = src.clean(sents, ()), src.terms(sents, ())
+    topic = spark.createDataFrame([("court",), ("absent",)], "term string")
+    pos = lambda df: sorted(r.pos for r in df.collect())
+    assert pos(ranking.topic_sentences(clean, topic)) == [2]
+    assert pos(ranking.topic_sentences(clean, topic, case_sensitive=False)) == [0, 2]
+    assert pos(ranking.topic_sentences(clean, None)) == [0, 1, 2]
+    assert ranking.topic_term_counts(terms, topic).collect() == [("court", 2)]
+    folded = ranking.topic_term_counts(terms, topic, case_sensitive=False).collect()
+    assert sorted(map(tuple, folded)) == [("Court", 1), ("court", 2)]
+
+
+def test_words_without_an_entry_take_no_slot_and_the_first_part_of_speech_wins(spark):
+    rows = [(f"w{i:02d}", 100 - i) for i in range(18)]
+    counts = spark.createDataFrame(rows, "term string, n long")
+    entries = [(f"w{i:02d}", "verb", 0, 0, f"v{i}") for i in range(1, 18)]
+    entries += [("w01", "noun", 1, 0, "second"), ("w01", "noun", 0, 1, "b"), ("w01", "noun", 0, 0, "a")]
+    table = spark.createDataFrame(
+        entries, "lemma string, pos string, sense int, ordinal int, synonym string"
+    )
+    words = lexicon.top_dictionary_words(counts, table)
+    got = {r.term: r.synonyms for r in lexicon.synonyms(words, table).collect()}
+    assert sorted(got) == [f"w{i:02d}" for i in range(1, 16)]
+    assert got["w01"] == "a, b, second" and got["w02"] == "v2"
+
+
+def test_shingles_and_similarity(spark):
+    assert one(spark, sh.char_shingles, "ab  abab") == ["ab ", "b a", " ab", "aba", "bab"]
+    assert one(spark, sh.char_shingles, "ab") == []
+    df = spark.createDataFrame([("ab", "cd"), ("abcdefg", "abcdefh")], "a string, b string")
+    for grams in (sh.char_shingles, sh.shingle_codes):
+        pairs = df.select(
+            sh.jaccard(grams(F.col("a")), grams(F.col("b"))).alias("j"),
+            sh.similar(grams(F.col("a")), grams(F.col("b"))).alias("s"),
+        ).collect()
+        assert math.isnan(pairs[0].j) and not pairs[0].s
+        assert math.isclose(pairs[1].j, 4 / 6) and not pairs[1].s

@@ -1,0 +1 @@
+"""Extractive text summarisation analytics on Spark DataFrames."""

@@ -1,0 +1 @@
+"""No streaming operators: every analysis here reads a whole corpus."""

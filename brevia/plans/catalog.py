@@ -168,22 +168,26 @@ def char_shingles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def jaccard_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Similarity of each sentence to the next one of its document, without a shuffle."""
+    """Similarity of each sentence to the next one of its document, without a shuffle.
 
-    def neighbours(g):
-        starts = F.when(F.size(g) > 1, F.sequence(F.lit(0), F.size(g) - 2))
+    Lines are paired inside the row and become rows before any shingle is made, so a
+    long document costs two copies of its text and not an array of its shingles.
+    """
+
+    def neighbours(lines):
+        starts = F.when(F.size(lines) > 1, F.sequence(F.lit(0), F.size(lines) - 2))
         return F.transform(
-            starts, lambda i: F.struct(F.get(g, i).alias("a"), F.get(g, i + 1).alias("b"))
+            starts, lambda i: F.struct(F.get(lines, i).alias("a"), F.get(lines, i + 1).alias("b"))
         )
 
-    grams = F.transform(
-        F.split("text", "\n"), lambda line: sh.shingle_codes(tx.clean_sentence(line))
-    )
-    pairs = F.get(F.transform(F.array(grams), neighbours), F.lit(0))
-    a, b = F.col("p.a"), F.col("p.b")
+    pairs = F.get(F.transform(F.array(F.split("text", "\n")), neighbours), F.lit(0))
+    codes = [sh.shingle_codes(tx.clean_sentence(F.col(f"p.{c}"))).alias(c) for c in ("a", "b")]
+    a, b = F.col("a"), F.col("b")
     return (
         src.documents(spark, d)
         .select("doc_id", F.posexplode_outer(pairs).alias("pos", "p"))
+        .where("p IS NOT NULL")
+        .select("doc_id", "pos", *codes)
         .where((F.size(a) > 0) | (F.size(b) > 0))
         .select(
             "doc_id",

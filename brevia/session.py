@@ -39,8 +39,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        named = tempfile.mkdtemp(prefix="brevia-checkpoint-")
-        spark.conf.set(CHECKPOINT_DIR, named)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="brevia-checkpoint-"))
+        named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
 
 

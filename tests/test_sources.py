@@ -87,7 +87,30 @@ def test_materialise_uses_the_named_folder(spark):
     assert df.count() == 3
     assert checkpoint_dir(spark) in df.inputFiles()[0]
     assert scratch_path(spark, "t") != scratch_path(spark, "t")
-    assert spark.conf.get("spark.checkpoint.dir")
+
+
+def test_an_unset_folder_is_temporary_in_local_mode_only(monkeypatch):
+    class Context:
+        master, folder = "local[2]", None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, path):
+            self.folder = path
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    first = checkpoint_dir(Session)
+    assert first == checkpoint_dir(Session) == Session.sparkContext.folder
+    Session.sparkContext = Context()
+    Session.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session)
 
 
 @pytest.mark.parametrize("text, n", [("a", 1), ("a\nb", 2), ("", 1), ("a\n", 2)])

@@ -286,7 +286,7 @@ def sentence_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def top_sentences(spark: SparkSession, d: str) -> DataFrame:
-    return ranking.top_sentences(_scores(spark, d), _clean(spark, d))
+    return ranking.top_sentences(_scores(spark, d), _lines(spark, d))
 
 
 def distinct_sentences(spark: SparkSession, d: str) -> DataFrame:
@@ -307,7 +307,7 @@ def topic_sentences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def summary_top_rank(spark: SparkSession, d: str) -> DataFrame:
-    return phases.ranked_summary(_scores(spark, d), _clean(spark, d))
+    return phases.ranked_summary(_scores(spark, d), _lines(spark, d))
 
 
 # clustering

@@ -6,11 +6,14 @@ under their folder names.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brevia.operators import clustering, dedup, lexicon, ranking, stats, topics
 from brevia.session import materialise
+from brevia.sources import documents as src
 from brevia.sources import sinks
 
 # Documents per cluster a cluster topic model reads.
@@ -32,10 +35,14 @@ def topics_of_clusters(
 
 
 def ranked_summary(
-    scores: DataFrame, clean: DataFrame, k: int = ranking.TOP_SENTENCES, threshold: float = 0.8
+    scores: DataFrame,
+    sents: DataFrame,
+    k: int = ranking.TOP_SENTENCES,
+    threshold: float = 0.8,
+    stop_words: Iterable[str] | None = None,
 ) -> DataFrame:
     """Phase 4: the best sentences without near-duplicates, with their scores."""
-    best = materialise(ranking.top_sentences(scores, clean, k), "top")
+    best = materialise(ranking.top_sentences(scores, sents, k, stop_words=stop_words), "top")
     kept = dedup.remove_near_duplicates(best, threshold)
     return best.join(kept, "sentence", "left_semi").select("score", "sentence")
 
@@ -93,13 +100,15 @@ def run_topics(terms: DataFrame, topic_terms: DataFrame, provider: str, out: str
 
 def run_summaries(
     scores: DataFrame,
-    clean: DataFrame,
+    sents: DataFrame,
     cluster_terms: DataFrame,
     corpus_terms: DataFrame,
     out: str,
+    stop_words: Iterable[str] | None = None,
 ) -> dict[str, str]:
     """Phase 4: the three summaries as value-only text."""
-    best = materialise(ranking.top_sentences(scores, clean), "top")
+    clean = src.clean(sents, stop_words)
+    best = materialise(ranking.top_sentences(scores, sents, stop_words=stop_words), "top")
     sinks.write_pairs(best, "score", "sentence", f"{out}/{sinks.TOP_SENTENCES}", sep="@")
     summaries = {
         "top_rank_doc": dedup.remove_near_duplicates(best),

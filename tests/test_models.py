@@ -130,7 +130,7 @@ def test_topics_use_the_optimizer_the_model_size_allows(spark, monkeypatch, cell
 def test_phases_write_their_outputs(spark, tmp_path):
     docs = corpus(spark)
     sents = src.sentences(docs)
-    terms, clean = src.terms(sents), src.clean(sents)
+    terms = src.terms(sents)
     out = str(tmp_path)
     table = spark.createDataFrame(
         [("reda", "noun", 0, 0, "crimson")], "lemma string, pos string, sense int, ordinal int, synonym string"
@@ -145,7 +145,7 @@ def test_phases_write_their_outputs(spark, tmp_path):
     assert counts.count() == model.terms.select("term").distinct().count()
     weights = stats.tfidf(stats.document_shares(docs), src.n_docs(docs))
     scores = ranking_scores(terms, weights)
-    paths = phases.run_summaries(scores, clean, model.terms, topics.distinct_terms(model.terms), out)
+    paths = phases.run_summaries(scores, sents, model.terms, topics.distinct_terms(model.terms), out)
     assert set(paths) == {"top_rank_doc", "cluster_topics_doc", "corpus_topics_doc"}
     assert all(spark.read.text(p).count() > 0 for p in paths.values())
 

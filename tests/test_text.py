@@ -117,10 +117,10 @@ def test_positional_vectors_follow_term_order(spark):
 
 
 def test_sentences_without_tokens_are_not_ranked_and_order_is_numeric(spark):
-    clean = src.clean(src.sentences(docs_of(spark, "the\nlow\nhigh\nhigh")), STOP)
+    sents = src.sentences(docs_of(spark, "the\nlow\nhigh\nhigh"))
     rows = [(0, 1, 1, 0.00091), (0, 2, 1, 0.05), (0, 3, 1, 0.05)]
     scores = spark.createDataFrame(rows, "doc_id long, pos int, n_tokens long, score double")
-    got = [tuple(r) for r in ranking.top_sentences(scores, clean).collect()]
+    got = [tuple(r) for r in ranking.top_sentences(scores, sents).collect()]
     assert got == [(0.05, "high"), (0.00091, "low")]
     terms = src.terms(src.sentences(docs_of(spark, "the\nx")), STOP)
     weights = spark.createDataFrame([(0, "x", 1.0)], "doc_id long, term string, tfidf double")

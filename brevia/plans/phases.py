@@ -16,6 +16,8 @@ from brevia.session import materialise
 from brevia.sources import documents as src
 from brevia.sources import sinks
 
+# Fixed value: what stands between a word's count and its synonyms in the text output.
+SYNONYMS = ". Available syns are: "
 # Documents per cluster a cluster topic model reads.
 REPRESENTATIVES = 5
 
@@ -58,9 +60,7 @@ def topic_summary(
 def run_word_statistics(terms: DataFrame, lexicon_table: DataFrame, out: str) -> DataFrame:
     """Phase 1 with its text output: word, count and synonyms."""
     words = frequent_words(terms, lexicon_table)
-    line = F.concat(
-        F.col("n").cast("string"), F.lit(". Available syns are: "), F.col("synonyms")
-    )
+    line = F.concat(F.col("n").cast("string"), F.lit(SYNONYMS), F.col("synonyms"), F.lit(", "))
     sinks.write_pairs(words.withColumn("line", line), "term", "line", f"{out}/{sinks.WORD_COUNT}")
     return words
 

@@ -41,7 +41,7 @@ def _key(value):
     if isinstance(value, bool):
         return str(value)
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value + 0.0:.6g}"
+        return "nan" if math.isnan(value) else repr(value + 0.0)
     return str(value)
 
 

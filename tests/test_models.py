@@ -137,7 +137,7 @@ def test_phases_write_their_outputs(spark, tmp_path):
     )
     words = phases.run_word_statistics(terms, table, out).collect()
     line = src.read_lines(spark, f"{out}/word_count").first()
-    assert line.key == "reda" and line.value == f"{words[0].n}. Available syns are: crimson"
+    assert line.key == "reda" and line.value == f"{words[0].n}. Available syns are: crimson, "
     centres, points = phases.run_clustering(terms, src.n_docs(docs), out, k=2)
     assert points.count() == 24 and {r.cluster for r in points.collect()} <= {0, 1}
     model = phases.topics_of_clusters(docs, points, 3, k=2, top_n=4, max_iter=3)

@@ -6,12 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brevia.llm import line_dedup, url_filters
+from brevia.llm import (
+    bpe_codec,
+    line_dedup,
+    lz_fingerprint,
+    token_counts,
+    token_files,
+    url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         url_filters.op1_url_filters,
+        token_files.op2_token_files,
+        bpe_codec.op3_bpe_codec,
+        lz_fingerprint.op4_lz_fingerprints,
+        token_counts.op6_token_counts,
         line_dedup.op8_line_dedup,
     )
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +15,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def local_session(cpus: int | str = "*", app: str = "brevia") -> SparkSession:
     """A session for tests and the bench. A cluster job brings its own."""
-    return (
+    return ship(
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -29,6 +31,27 @@ def local_session(cpus: int | str = "*", app: str = "brevia") -> SparkSession:
     )
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends the package to the Python workers, once for each application.
+
+    Functions run there are pickled by reference, so the workers must import it
+    wherever the driver was started.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = Path(__file__).resolve().parent
+        archive = os.path.join(tempfile.mkdtemp(prefix="brevia-package-"), f"{root.name}.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for path in sorted(root.rglob("*.py")):
+                out.write(path, path.relative_to(root.parent))
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the session.
 

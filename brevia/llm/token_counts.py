@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from brevia.llm import arrow, overlap
 from brevia.llm.common import row_key, text_of
-from brevia.llm.units import BYTE_LETTERS, LIMIT, WORD, byte_letters, library
+from brevia.llm.units import BYTE_LETTERS, LIMIT, WORD, WORDS, byte_letters, library
 
 VOCABULARY = "byte_bpe_50k.json"
 MAX_TOKENS = 1024
@@ -51,7 +51,7 @@ class BlankUnits:
         n = self.words.get(word)
         if n is None:
             n = len(self.model.tokenize(self.blank + byte_letters(word)))
-            if len(self.words) < LIMIT:
+            if len(self.words) < WORDS:
                 self.words[word] = n
         return n
 

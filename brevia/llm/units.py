@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 
 LIMIT = 600_000
+WORDS = 1_000_000
 # white space that ends a unit is looked for beyond this many bytes of a long text
 SEGMENT = 1 << 20
 
@@ -70,23 +72,24 @@ class WordUnits:
         self.library = library(path)
         self.model = self.library.model
         self.known: dict[bytes, int] = {}
-        self.words: dict[str, list[int]] = {}
-        self.signs: dict[str, list[int]] = {"": []}
+        self.words: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {"": b""}
         self.ids = np.empty(0, np.uint32)
         self.starts = self.lens = np.empty(0, np.int64)
 
-    def _whole(self, units: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
+    def _whole(self, units: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(units, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            ids = [t.id for t in self.model.tokenize(byte_letters(word))]
-            if len(self.words) < LIMIT:
+            ids = array("I", [t.id for t in self.model.tokenize(byte_letters(word))]).tobytes()
+            if len(self.words) < WORDS:
                 self.words[word] = ids
         return ids
 
-    def _signs(self, signs: str) -> list[int]:
+    def _signs(self, signs: str) -> bytes:
         ids = self.signs.get(signs)
         if ids is None:
             ids = self._whole([signs])[0]
@@ -103,8 +106,8 @@ class WordUnits:
             next(rest_ids) if m is None else self._word(m[1].lower()) + self._signs(m[2])
             for m in parts
         ]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        new = np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum()))
+        lens = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        new = np.frombuffer(b"".join(ids), np.uint32)
         self.known.update(zip(units, range(len(self.known), len(self.known) + len(units))))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lens) - lens])
         self.lens = np.concatenate([self.lens, lens])

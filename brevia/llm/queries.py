@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from brevia.llm import (
     bpe_codec,
+    decontaminate,
+    jaccard_join,
+    kn_quality,
     line_dedup,
     lz_fingerprint,
+    substring_dedup,
     token_counts,
     token_files,
     url_filters,
@@ -22,8 +26,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         token_files.op2_token_files,
         bpe_codec.op3_bpe_codec,
         lz_fingerprint.op4_lz_fingerprints,
+        jaccard_join.op5_jaccard_join,
         token_counts.op6_token_counts,
+        decontaminate.op7_decontaminate,
         line_dedup.op8_line_dedup,
+        substring_dedup.op9_substring_dedup,
+        kn_quality.op10_kn_quality,
     )
 }
 ORACLE_SQL: dict[str, str] = {

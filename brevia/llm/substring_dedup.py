@@ -9,11 +9,12 @@ fifth of all places are anchors. The steps:
 2. Anchors found under two ids or more are recurring. Counting aggregates before its exchange.
    A Bloom filter of fixed size thins the anchors and the texts before they are exchanged;
    exact joins decide.
-3. Passages around recurring anchors are cut from the texts; their windows are counted by
-   128-bit hash, and those found under two ids are confirmed, with the smallest id.
+3. Windows with recurring anchors are counted by 128-bit hash, and those found under two ids
+   are confirmed, with the smallest id.
 4. Confirmed windows are compiled, as text, to Aho-Corasick automata, one for a shard of
-   anchors, and the passages of all texts stream through the automaton of their shard. An
-   anchor with many passages is dealt over several shards, which all get its windows.
+   anchors, and the passages of all texts that can hold one stream through the automaton of
+   their shard. An anchor with many passages is dealt over several shards, which all get
+   its windows.
 5. A word goes if a window over it was found with a smaller id. Windows are judged on the input.
 
 A null text has no words. A null id counts as smaller than all others. Rows with one id are
@@ -23,6 +24,7 @@ no copies of each other.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from brevia.llm import arrow, words
 from brevia.llm.bloom import bloom, passes
 from brevia.llm.common import row_key
-from brevia.session import materialise
+from brevia.session import materialise, scratch_path
 
 WINDOW = 13
 GRAM = 5
@@ -42,31 +44,52 @@ SHARD_PASSAGES = 4_096
 NO_ID = -(1 << 63)
 
 
-def _anchors(grams: np.ndarray, span: int) -> np.ndarray:
-    """For each window the place of its smallest gram, the first of equals."""
-    if len(grams) < span:
-        return np.empty(0, np.int64)
-    return np.lib.stride_tricks.sliding_window_view(grams, span).argmin(axis=1) + np.arange(len(grams) - span + 1)
+class Slice:
+    """Words, windows and anchors of a slice of rows, as arrays over all its words."""
+
+    def __init__(self, rows: pa.RecordBatch, window: int, gram: int):
+        self.lists = [t.split() for t in arrow.raw(rows.column("text"))]
+        self.hashes, ends = words.flat(self.lists)
+        sizes = np.array([len(x) for x in self.lists], np.int64)
+        self.starts = ends - sizes
+        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+        grams, span = words.grams(self.hashes, gram), window - gram + 1
+        n = max(0, len(self.hashes) - window + 1)
+        self.place = np.empty(0, np.int64)
+        if n:
+            view = np.lib.stride_tricks.sliding_window_view(grams, span)
+            self.place = view.argmin(axis=1) + np.arange(n)
+        self.valid = self.doc[:n] == self.doc[len(self.doc) - n :]
+        self.anchor = grams[self.place]
+
+    def fresh(self, mask: np.ndarray) -> np.ndarray:
+        """Windows of ``mask`` that begin a run with one anchor and without a gap."""
+        new, doc = mask.copy(), self.doc[: len(mask)]
+        new[1:] &= ~(mask[:-1] & (self.place[1:] == self.place[:-1]) & (doc[1:] == doc[:-1]))
+        return new
+
+    def marked(self, rows: pa.RecordBatch) -> np.ndarray:
+        """Valid windows whose anchor is among the row's ``anchors``."""
+        of = np.repeat(np.arange(len(rows)), rows.column("anchors").value_lengths().to_numpy())
+        hits = rows.column("anchors").flatten().to_numpy().view(np.uint64)
+        join = lambda anchor, doc: words.mix(anchor ^ words.mix(doc.astype(np.uint64) + np.uint64(1)))
+        return self.valid & np.isin(join(self.anchor, self.doc[: len(self.anchor)]), join(hits, of))
 
 
 def _scan(window: int, gram: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in arrow.slices(batches):
-            lists = [t.split() for t in arrow.raw(rows.column("text"))]
-            hashes, ends = words.flat(lists)
-            grams = words.grams(hashes, gram)
-            begin, found = 0, []
-            for end in ends.tolist():
-                own = grams[begin : max(begin, end - gram + 1)]
-                found.append(words.signed(np.unique(own[np.unique(_anchors(own, window - gram + 1))])))
-                begin = end
+            own = Slice(rows, window, gram)
+            new = np.flatnonzero(own.fresh(own.valid))
+            counts = np.bincount(own.doc[new], minlength=len(rows))
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             out = {
                 "id": rows.column("id"),
                 "h1": rows.column("h1"),
                 "h2": rows.column("h2"),
-                "n_words": pa.array([len(x) for x in lists], pa.int64()),
-                "digest": pa.array([hashlib.sha256(b" ".join(x)).digest() for x in lists], pa.binary()),
-                "anchors": pa.array(found, pa.list_(pa.int64())),
+                "n_words": pa.array([len(x) for x in own.lists], pa.int64()),
+                "digest": pa.array([hashlib.sha256(b" ".join(x)).digest() for x in own.lists], pa.binary()),
+                "anchors": pa.ListArray.from_arrays(offsets, words.signed(own.anchor[new])),
             }
             yield pa.record_batch(out)
 
@@ -95,49 +118,72 @@ def _likely(bits):
     return likely
 
 
-PASSAGES = "id bigint, h1 bigint, h2 bigint, anchor bigint, salt int, n_salts int, at bigint, text string, w1 array<bigint>, w2 array<bigint>"
+def _windows(window: int, gram: int):
+    """(id, w1, w2) of the windows with recurring anchors."""
 
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in arrow.slices(batches):
+            own = Slice(rows, window, gram)
+            at = np.flatnonzero(own.marked(rows))
+            w1, w2 = (words.signed(words.grams(own.hashes, window, seed)[at]) for seed in (1, 2))
+            yield pa.record_batch({"id": rows.column("id").to_numpy()[own.doc[at]], "w1": w1, "w2": w2})
+
+    return hashes
+
+
+def _window_key(w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
+    return words.mix(w1.view(np.uint64) ^ words.mix(w2.view(np.uint64)))
+
+
+def _confirmed_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        key = _window_key(*(batch.column(c).to_numpy() for c in ("w1", "w2")))
+        first = words.mix(key ^ batch.column("first").to_numpy().view(np.uint64))
+        yield pa.record_batch({"key": words.signed(key), "sourced": words.signed(first)})
+
+
+PASSAGES = (
+    "kind int, id bigint, h1 bigint, h2 bigint, anchor bigint, salt int, n_salts int, at bigint, "
+    "w1 bigint, w2 bigint, text string"
+)
+_PASSAGE_TYPES = [pa.int32()] + [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64()] * 3 + [pa.string()]
 
-def _passages(window: int, gram: int):
-    """Rows of consecutive windows with one recurring anchor, with the windows' hashes."""
+
+def _passages(window: int, gram: int, confirmed, sourced):
+    """Runs of windows that are likely confirmed (kind 1) and, apart, those that are likely
+    the first of their kind (kind 0). Both tests may let too much pass, never too little."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in arrow.slices(batches):
-            out = []
-            for row in rows.to_pylist():
-                tokens = (row["text"] or "").encode().split()
-                hashes = words.flat([tokens])[0]
-                grams = words.grams(hashes, gram)
-                places = _anchors(grams, window - gram + 1)
-                salts = dict(zip(row["anchors"], row["salts"]))
-                first, second = words.grams(hashes, window, 1), words.grams(hashes, window, 2)
-                stops = np.flatnonzero(np.diff(places)) + 1
-                for a, b in zip([0, *stops.tolist()], [*stops.tolist(), len(places)]):
-                    anchor = int(words.signed(grams[places[a : a + 1]])[0]) if b > a else 0
-                    if b > a and anchor in salts:
-                        out.append(
-                            {c: row[c] for c in ("id", "h1", "h2")}
-                            | {
-                                "anchor": anchor,
-                                "salt": row["h1"] % salts[anchor],
-                                "n_salts": salts[anchor],
-                                "at": a,
-                                "text": b" ".join(tokens[a : b + window - 1]).decode(),
-                                "w1": words.signed(first[a:b]),
-                                "w2": words.signed(second[a:b]),
-                            }
-                        )
-                if len(out) > 2_000:
-                    yield pa.RecordBatch.from_pylist(out, schema=schema)
-                    out = []
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+            own, out = Slice(rows, window, gram), []
+            w1, w2 = (words.grams(own.hashes, window, seed) for seed in (1, 2))
+            key = _window_key(w1, w2)
+            likely = own.marked(rows) & passes(confirmed.value, words.signed(key))
+            ids, h1, h2 = (rows.column(c).to_pylist() for c in ("id", "h1", "h2"))
+            salts, hits = rows.column("salts"), rows.column("anchors")
+            anchors, signed1, signed2 = words.signed(own.anchor), words.signed(w1), words.signed(w2)
+            own_id = rows.column("id").to_numpy().view(np.uint64)[own.doc[: len(key)]]
+            source = likely & passes(sourced.value, words.signed(words.mix(key ^ own_id)))
+            begin = np.flatnonzero(own.fresh(likely))
+            at = np.flatnonzero(likely)
+            stop = at[np.append(np.searchsorted(at, begin)[1:], len(at)) - 1] + 1 if len(begin) else begin
+            known: tuple[int, dict] = (-1, {})
+            jobs = [(1, a, b) for a, b in zip(begin.tolist(), stop.tolist())]
+            jobs += [(0, a, a + 1) for a in np.flatnonzero(source).tolist()]
+            for kind, a, b in jobs:
+                d = int(own.doc[a])
+                if known[0] != d:
+                    known = d, dict(zip(hits[d].as_py(), salts[d].as_py()))
+                anchor, first = int(anchors[a]), a - int(own.starts[d])
+                n = known[1][anchor]
+                text = b" ".join(own.lists[d][first : first + b - a + window - 1]).decode()
+                out.append(
+                    (kind, ids[d], h1[d], h2[d], anchor, h1[d] % n, n, first, int(signed1[a]), int(signed2[a]), text)
+                )
+            columns = list(zip(*out)) or [[]] * len(_PASSAGE_TYPES)
+            names = [c.split()[0] for c in PASSAGES.split(", ")]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, _PASSAGE_TYPES)], names=names)
 
-    many = pa.list_(pa.int64())
-    schema = pa.schema(
-        [(c, pa.int64()) for c in ("id", "h1", "h2", "anchor")]
-        + [("salt", pa.int32()), ("n_salts", pa.int32()), ("at", pa.int64()), ("text", pa.string())]
-        + [("w1", many), ("w2", many)]
-    )
     return cut
 
 
@@ -163,12 +209,11 @@ def _locate(window: int):
                 if not len(automaton):
                     continue
                 text = f" {row['text']} "
-                blank_at = np.flatnonzero(np.array(list(text)) == " ")
                 begin = stop = None
                 for last, first_id in automaton.iter(text):
                     if first_id >= row["id"]:
                         continue
-                    end = row["at"] + int(np.searchsorted(blank_at, last))
+                    end = row["at"] + text.count(" ", 0, last)
                     if stop is not None and end - window <= stop:
                         stop = end
                         continue
@@ -189,7 +234,8 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens = (row["text"] or "").encode().split()
             keep = np.ones(len(tokens), bool)
             for span in row["spans"]:
-                keep[span["begin"] : span["stop"]] = False
+                if (span["h1"], span["h2"]) == (row["h1"], row["h2"]):
+                    keep[span["begin"] : span["stop"]] = False
             kept = [t for t, k in zip(tokens, keep.tolist()) if k]
             digest = hashlib.sha256(b" ".join(kept)).digest()
             out.append([row["id"], row["h1"], row["h2"], len(tokens) - len(kept), digest])
@@ -200,9 +246,19 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _bucketed(df: DataFrame, by: str, name: str) -> DataFrame:
+    """A written table in buckets, which joins by ``by`` read without another exchange."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(n, by).write.bucketBy(n, by).option("path", scratch_path(spark, name))
+    writer.saveAsTable(table)
+    return spark.table(table)
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row of (doc_id, text)."""
-    spark = docs.sparkSession
+    share = docs.sparkSession.sparkContext.broadcast
     key = ["id", "h1", "h2"]
     rank = F.coalesce("doc_id", F.lit(NO_ID)).alias("id")
     texts = docs.select(rank, *row_key()[1:], "text")
@@ -211,60 +267,49 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         "id bigint, h1 bigint, h2 bigint, n_words bigint, digest binary, anchors array<bigint>",
     )
     scanned = materialise(scanned, "anchors")
-
     firsts = materialise(scanned.groupBy("digest").agg(F.min("id").alias("first")), "firsts")
-    short = scanned.drop("anchors").join(firsts, "digest")
+    short = materialise(scanned.drop("anchors").join(firsts, "digest"), "copies")
     copy = (F.col("id") > F.col("first")) & (F.col("n_words") >= window)
 
-    # later copies are left out of the counts; the smallest id of each text stands for them
-    owners = scanned.select("id", "digest", "anchors").join(
-        firsts.withColumnRenamed("first", "id"), ["digest", "id"], "left_semi"
-    )
-    ends = owners.select("id", F.explode("anchors").alias("anchor")).groupBy("anchor")
+    ends = scanned.select("id", F.explode("anchors").alias("anchor")).groupBy("anchor")
     ends = ends.agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n"))
-    recurring = ends.where("lo < hi").select("anchor", "n")
-    recurring = materialise(recurring, "recurring")
-    bits = spark.sparkContext.broadcast(bloom(recurring, F.col("anchor")))
-    likely = owners.select("id", "anchors").mapInArrow(_thin(bits), "anchor bigint, id bigint")
+    recurring = materialise(ends.where("lo < hi").select("anchor", "n"), "recurring")
+    likely = scanned.select("id", "anchors").mapInArrow(
+        _thin(share(bloom(recurring, F.col("anchor")))), "anchor bigint, id bigint"
+    )
     salts = F.ceil(F.col("n") / SHARD_PASSAGES).cast("int").alias("salts")
     hits = likely.join(recurring, "anchor").select("id", F.struct("anchor", salts).alias("hit"))
     hits = hits.groupBy("id").agg(F.collect_set("hit").alias("hits"))
-    hits = materialise(
-        hits.select("id", F.col("hits.anchor").alias("anchors"), F.col("hits.salts").alias("salts")), "hits"
-    )
+    # ids whose rows are all copies go no further
+    owners = short.where(~copy).select("id").distinct()
+    hits = hits.select("id", F.col("hits.anchor").alias("anchors"), F.col("hits.salts").alias("salts"))
+    hits = materialise(hits.join(owners, "id", "left_semi"), "hits")
 
-    id_bits = spark.sparkContext.broadcast(bloom(hits, F.xxhash64("id")))
     marked = texts.withColumn("hashed", F.xxhash64("id")).mapInArrow(
-        _likely(id_bits), "id bigint, h1 bigint, h2 bigint, text string"
+        _likely(share(bloom(hits, F.xxhash64("id")))), "id bigint, h1 bigint, h2 bigint, text string"
     )
-    marked = materialise(marked.join(hits, "id").dropDuplicates(key), "marked")
-    passages = materialise(marked.mapInArrow(_passages(window, gram), PASSAGES), "passages")
-
-    pairs = F.explode(F.arrays_zip("w1", "w2")).alias("w")
-    counted = passages.select("id", pairs).groupBy("w.w1", "w.w2")
+    marked = _bucketed(marked.join(hits, "id"), "id", "marked")
+    counted = marked.mapInArrow(_windows(window, gram), "id bigint, w1 bigint, w2 bigint").groupBy("w1", "w2")
     confirmed = counted.agg(F.min("id").alias("first"), F.max("id").alias("last"))
     confirmed = materialise(confirmed.where("first < last").select("w1", "w2", "first"), "confirmed")
+    keys = materialise(confirmed.mapInArrow(_confirmed_keys, "key bigint, sourced bigint"), "confirmed-keys")
+    bits = [share(bloom(keys, F.col(c))) for c in ("key", "sourced")]
+    passages = materialise(marked.mapInArrow(_passages(window, gram, *bits), PASSAGES), "passages")
+
     shards = max(1, -(-confirmed.count() // SHARD_PATTERNS))
     shard = F.pmod(F.xxhash64("anchor", "salt"), F.lit(shards)).alias("shard")
-    sources = passages.select(
-        "id", "anchor", "n_salts", "text", F.posexplode(F.arrays_zip("w1", "w2")).alias("k", "w")
-    ).select("id", "anchor", "n_salts", "text", "k", "w.w1", "w.w2")
-    patterns = sources.join(confirmed.withColumnRenamed("first", "id"), ["w1", "w2", "id"])
-    cut = F.array_join(F.slice(F.split("text", " "), F.col("k") + 1, window), " ").alias("text")
-    patterns = patterns.dropDuplicates(["w1", "w2", "anchor"]).select(
-        F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1)).alias("salt"), "anchor", "id", cut
-    )
-    none = F.lit(None).cast("bigint")
-    patterns = patterns.select(
-        shard, F.lit(0).alias("kind"), "id", none.alias("h1"), none.alias("h2"), none.alias("at"), "text"
-    )
-    stream = passages.select(shard, F.lit(1).alias("kind"), "id", "h1", "h2", "at", "text")
-    dealt = patterns.unionByName(stream).repartition("shard").sortWithinPartitions("shard", "kind")
+    first = confirmed.withColumnRenamed("first", "id")
+    patterns = passages.where("kind = 0").join(first, ["w1", "w2", "id"]).dropDuplicates(["w1", "w2", "anchor"])
+    patterns = patterns.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1)))
+    columns = ["kind", "id", "h1", "h2", "at", "text"]
+    stream = passages.where("kind = 1").dropDuplicates([*key, "at", "anchor"])
+    dealt = patterns.select(shard, *columns).unionByName(stream.select(shard, *columns))
+    dealt = dealt.repartition("shard").sortWithinPartitions("shard", "kind")
     spans = dealt.mapInArrow(_locate(window), "id bigint, h1 bigint, h2 bigint, begin bigint, stop bigint")
-    spans = spans.groupBy(*key).agg(F.collect_list(F.struct("begin", "stop")).alias("spans"))
-    changed = marked.select(*key, "text").join(spans, key)
+    spans = spans.groupBy("id").agg(F.collect_list(F.struct("h1", "h2", "begin", "stop")).alias("spans"))
+    changed = marked.select(*key, "text").join(materialise(spans, "spans"), "id")
     changed = changed.mapInArrow(_remove, "id bigint, h1 bigint, h2 bigint, n_removed bigint, kept binary")
-    changed = materialise(changed, "changed")
+    changed = materialise(changed, "changed").dropDuplicates(key)
 
     out = short.join(changed, key, "left")
     nothing = F.sha2(F.lit(""), 256)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 import zipfile
 from pathlib import Path
 
@@ -82,4 +83,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+_written: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``materialise`` that nothing will read any more."""
+    for df in tables:
+        known, path = _written.pop(id(df), (None, None))
+        if known is not None and known() is df:
+            context = df.sparkSession.sparkContext
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)

@@ -9,8 +9,8 @@ fifth of all places are anchors. The steps:
 2. Anchors found under two ids or more are recurring. Counting aggregates before its exchange.
    A Bloom filter of fixed size thins the anchors and the texts before they are exchanged;
    exact joins decide.
-3. Windows with recurring anchors are counted by 128-bit hash, and those found under two ids
-   are confirmed, with the smallest id.
+3. Windows with recurring anchors are counted by hash, and those found under two ids are
+   confirmed, with the smallest id. Hashes choose what is compiled; texts are compared.
 4. Confirmed windows are compiled, as text, to Aho-Corasick automata, one for a shard of
    anchors, and the passages of all texts that can hold one stream through the automaton of
    their shard. An anchor with many passages is dealt over several shards, which all get
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from brevia.llm import arrow, words
 from brevia.llm.bloom import bloom, passes
 from brevia.llm.common import row_key
-from brevia.session import materialise, scratch_path
+from brevia.session import discard, materialise, scratch_path
 
 WINDOW = 13
 GRAM = 5
@@ -119,67 +119,58 @@ def _likely(bits):
 
 
 def _windows(window: int, gram: int):
-    """(id, w1, w2) of the windows with recurring anchors."""
+    """(id, w) of the windows with recurring anchors, w a hash."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in arrow.slices(batches):
             own = Slice(rows, window, gram)
             at = np.flatnonzero(own.marked(rows))
-            w1, w2 = (words.signed(words.grams(own.hashes, window, seed)[at]) for seed in (1, 2))
-            yield pa.record_batch({"id": rows.column("id").to_numpy()[own.doc[at]], "w1": w1, "w2": w2})
+            w = words.signed(words.grams(own.hashes, window, 1)[at])
+            yield pa.record_batch({"id": rows.column("id").to_numpy()[own.doc[at]], "w": w})
 
     return hashes
 
 
-def _window_key(w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
-    return words.mix(w1.view(np.uint64) ^ words.mix(w2.view(np.uint64)))
+def _sourced(w: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    return words.signed(words.mix(w.view(np.uint64) ^ words.mix(ids.view(np.uint64))))
 
 
 def _confirmed_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        key = _window_key(*(batch.column(c).to_numpy() for c in ("w1", "w2")))
-        first = words.mix(key ^ batch.column("first").to_numpy().view(np.uint64))
-        yield pa.record_batch({"key": words.signed(key), "sourced": words.signed(first)})
+        w, first = batch.column("w").to_numpy(), batch.column("first").to_numpy()
+        yield pa.record_batch({"w": w, "sourced": _sourced(w, first)})
 
 
-PASSAGES = (
-    "kind int, id bigint, h1 bigint, h2 bigint, anchor bigint, salt int, n_salts int, at bigint, "
-    "w1 bigint, w2 bigint, text string"
-)
-_PASSAGE_TYPES = [pa.int32()] + [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64()] * 3 + [pa.string()]
+PASSAGES = "kind int, id bigint, h1 bigint, h2 bigint, anchor bigint, salt int, n_salts int, at bigint, text string"
+_PASSAGE_TYPES = [pa.int32()] + [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64(), pa.string()]
 
 
 def _passages(window: int, gram: int, confirmed, sourced):
-    """Runs of windows that are likely confirmed (kind 1) and, apart, those that are likely
-    the first of their kind (kind 0). Both tests may let too much pass, never too little."""
+    """Runs of windows with one anchor that are likely confirmed (kind 1) and, apart, that
+    are likely the first of their kind (kind 0). Both tests may let too much pass: a window
+    found where it does occur is no error, and one found nowhere else removes nothing."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in arrow.slices(batches):
             own, out = Slice(rows, window, gram), []
-            w1, w2 = (words.grams(own.hashes, window, seed) for seed in (1, 2))
-            key = _window_key(w1, w2)
-            likely = own.marked(rows) & passes(confirmed.value, words.signed(key))
+            w = words.signed(words.grams(own.hashes, window, 1))
+            likely = own.marked(rows) & passes(confirmed.value, w)
             ids, h1, h2 = (rows.column(c).to_pylist() for c in ("id", "h1", "h2"))
-            salts, hits = rows.column("salts"), rows.column("anchors")
-            anchors, signed1, signed2 = words.signed(own.anchor), words.signed(w1), words.signed(w2)
-            own_id = rows.column("id").to_numpy().view(np.uint64)[own.doc[: len(key)]]
-            source = likely & passes(sourced.value, words.signed(words.mix(key ^ own_id)))
-            begin = np.flatnonzero(own.fresh(likely))
-            at = np.flatnonzero(likely)
-            stop = at[np.append(np.searchsorted(at, begin)[1:], len(at)) - 1] + 1 if len(begin) else begin
-            known: tuple[int, dict] = (-1, {})
-            jobs = [(1, a, b) for a, b in zip(begin.tolist(), stop.tolist())]
-            jobs += [(0, a, a + 1) for a in np.flatnonzero(source).tolist()]
-            for kind, a, b in jobs:
-                d = int(own.doc[a])
-                if known[0] != d:
-                    known = d, dict(zip(hits[d].as_py(), salts[d].as_py()))
-                anchor, first = int(anchors[a]), a - int(own.starts[d])
-                n = known[1][anchor]
-                text = b" ".join(own.lists[d][first : first + b - a + window - 1]).decode()
-                out.append(
-                    (kind, ids[d], h1[d], h2[d], anchor, h1[d] % n, n, first, int(signed1[a]), int(signed2[a]), text)
-                )
+            salts, hits, anchors = rows.column("salts"), rows.column("anchors"), words.signed(own.anchor)
+            own_id = rows.column("id").to_numpy()[own.doc[: len(w)]]
+            source = likely & passes(sourced.value, _sourced(w, own_id))
+            doc_known, known = -1, {}
+            for kind, mask in ((0, source), (1, likely)):
+                at, begin = np.flatnonzero(mask), np.flatnonzero(own.fresh(mask))
+                stop = at[np.append(np.searchsorted(at, begin)[1:], len(at)) - 1] + 1 if len(at) else at
+                for a, b in zip(begin.tolist(), stop.tolist()):
+                    d = int(own.doc[a])
+                    if d != doc_known:
+                        doc_known, known = d, dict(zip(hits[d].as_py(), salts[d].as_py()))
+                    anchor, first = int(anchors[a]), a - int(own.starts[d])
+                    n = known[anchor]
+                    text = b" ".join(own.lists[d][first : first + b - a + window - 1]).decode()
+                    out.append((kind, ids[d], h1[d], h2[d], anchor, h1[d] % n, n, first, text))
             columns = list(zip(*out)) or [[]] * len(_PASSAGE_TYPES)
             names = [c.split()[0] for c in PASSAGES.split(", ")]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, _PASSAGE_TYPES)], names=names)
@@ -198,31 +189,35 @@ def _locate(window: int):
         for batch in batches:
             out = []
             for row in batch.to_pylist():
+                own_id = row["id"]
                 if row["shard"] != shard:
                     shard, automaton, ready = row["shard"], ahocorasick.Automaton(), False
                 if row["kind"] == 0:
-                    automaton.add_word(f" {row['text']} ", row["id"])
+                    tokens = row["text"].split(" ")
+                    for k in range(len(tokens) - window + 1):
+                        pattern = f" {' '.join(tokens[k : k + window])} "
+                        if automaton.get(pattern, own_id) >= own_id:
+                            automaton.add_word(pattern, own_id)
                     continue
                 if not ready:
                     automaton.make_automaton()
                     ready = True
                 if not len(automaton):
                     continue
-                text = f" {row['text']} "
-                begin = stop = None
+                text, begin, stop = f" {row['text']} ", None, None
                 for last, first_id in automaton.iter(text):
-                    if first_id >= row["id"]:
+                    if first_id >= own_id:
                         continue
                     end = row["at"] + text.count(" ", 0, last)
-                    if stop is not None and end - window <= stop:
-                        stop = end
-                        continue
-                    if stop is not None:
-                        out.append({c: row[c] for c in ("id", "h1", "h2")} | {"begin": begin, "stop": stop})
-                    begin, stop = end - window, end
+                    if stop is None or end - window > stop:
+                        if stop is not None:
+                            out.append((own_id, row["h1"], row["h2"], begin, stop))
+                        begin = end - window
+                    stop = end
                 if stop is not None:
-                    out.append({c: row[c] for c in ("id", "h1", "h2")} | {"begin": begin, "stop": stop})
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    out.append((own_id, row["h1"], row["h2"], begin, stop))
+            columns = list(zip(*out)) or [[]] * 5
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
     return locate
 
@@ -251,7 +246,7 @@ def _bucketed(df: DataFrame, by: str, name: str) -> DataFrame:
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = df.repartition(n, by).write.bucketBy(n, by).option("path", scratch_path(spark, name))
+    writer = df.write.bucketBy(n, by).option("path", scratch_path(spark, name))
     writer.saveAsTable(table)
     return spark.table(table)
 
@@ -289,21 +284,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         _likely(share(bloom(hits, F.xxhash64("id")))), "id bigint, h1 bigint, h2 bigint, text string"
     )
     marked = _bucketed(marked.join(hits, "id"), "id", "marked")
-    counted = marked.mapInArrow(_windows(window, gram), "id bigint, w1 bigint, w2 bigint").groupBy("w1", "w2")
-    confirmed = counted.agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    confirmed = materialise(confirmed.where("first < last").select("w1", "w2", "first"), "confirmed")
-    keys = materialise(confirmed.mapInArrow(_confirmed_keys, "key bigint, sourced bigint"), "confirmed-keys")
-    bits = [share(bloom(keys, F.col(c))) for c in ("key", "sourced")]
-    passages = materialise(marked.mapInArrow(_passages(window, gram, *bits), PASSAGES), "passages")
-
+    discard(scanned, recurring, hits)
+    counted = marked.mapInArrow(_windows(window, gram), "id bigint, w bigint").groupBy("w")
+    confirmed = counted.agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    confirmed = confirmed.select("w", "first").mapInArrow(_confirmed_keys, "w bigint, sourced bigint")
+    confirmed = materialise(confirmed, "confirmed")
+    bits = [share(bloom(confirmed, F.col(c))) for c in ("w", "sourced")]
     shards = max(1, -(-confirmed.count() // SHARD_PATTERNS))
+    passages = marked.mapInArrow(_passages(window, gram, *bits), PASSAGES)
+    # the windows of an anchor go to all its shards, a passage to one
+    all_salts = F.sequence(F.lit(0), F.col("n_salts") - 1)
+    passages = passages.withColumn("salt", F.explode(F.when(F.col("kind") == 0, all_salts).otherwise(F.array("salt"))))
     shard = F.pmod(F.xxhash64("anchor", "salt"), F.lit(shards)).alias("shard")
-    first = confirmed.withColumnRenamed("first", "id")
-    patterns = passages.where("kind = 0").join(first, ["w1", "w2", "id"]).dropDuplicates(["w1", "w2", "anchor"])
-    patterns = patterns.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1)))
-    columns = ["kind", "id", "h1", "h2", "at", "text"]
-    stream = passages.where("kind = 1").dropDuplicates([*key, "at", "anchor"])
-    dealt = patterns.select(shard, *columns).unionByName(stream.select(shard, *columns))
+    dealt = passages.select(shard, "kind", "id", "h1", "h2", "at", "text")
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", "kind")
     spans = dealt.mapInArrow(_locate(window), "id bigint, h1 bigint, h2 bigint, begin bigint, stop bigint")
     spans = spans.groupBy("id").agg(F.collect_list(F.struct("h1", "h2", "begin", "stop")).alias("spans"))

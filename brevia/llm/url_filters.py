@@ -95,7 +95,7 @@ def _shrink(nodes: DataFrame, name: str) -> DataFrame:
     """Adds the posterior (a, b, mean) of nodes whose parents have mean ``m``."""
     spread = F.col("m") * (1 - F.col("m"))
     excess = F.sum(F.pow(F.col("k") - F.col("n") * F.col("m"), F.lit(2)) - F.col("n") * spread)
-    rho = excess / F.sum(F.col("n") * (F.col("n") - 1) * spread)
+    rho = F.try_divide(excess, F.sum(F.col("n") * (F.col("n") - 1) * spread))
     rho = F.greatest(F.lit(MIN_RHO), F.least(F.lit(MAX_RHO), F.coalesce(rho, F.lit(MAX_RHO))))
     nodes = materialise(nodes, f"url-{name}")
     strength = nodes.agg((1 / rho - 1).alias("strength")).scalar()

@@ -35,13 +35,13 @@ LONG_WORD = 32
 _EMPTY = np.uint32(0xFFFFFFFF)
 
 OUT = (
-    "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
-    "edited_fingerprint string, near_edited double, near_next double"
+    "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint binary, "
+    "edited_fingerprint binary, near_edited double, near_next double"
 )
 BORDER = ", part int, head string, tail string"
 _FIELDS = [
     ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-    ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
+    ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
     ("near_edited", pa.float64()), ("near_next", pa.float64()),
 ]
 _BORDER_FIELDS = [*_FIELDS, ("part", pa.int32()), ("head", pa.string()), ("tail", pa.string())]
@@ -116,8 +116,8 @@ class _Text:
             "doc_id": self.doc_id,
             "n_chars": len(self.text),
             "edited_sha256": hashlib.sha256(changed.encode()).hexdigest(),
-            "fingerprint": self.mark,
-            "edited_fingerprint": mark,
+            "fingerprint": bytes.fromhex("0" + self.mark),
+            "edited_fingerprint": bytes.fromhex("0" + mark),
             "near_edited": likeness(self.mark, mark),
             "near_next": likeness(self.mark, successor.mark),
         }
@@ -166,7 +166,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     heads = border.select(F.col("part").alias("then"), F.col("head").alias("next"))
     pairs = border.select("doc_id", "part", "tail").join(links, "part").join(heads, "then")
     last = pairs.select("doc_id", "tail", "next").mapInArrow(_at_borders, OUT)
-    return found.where("part IS NULL").drop("part", "head", "tail").unionByName(last)
+    out = found.where("part IS NULL").drop("part", "head", "tail").unionByName(last)
+    text = lambda c: F.expr(f"lower(substring(hex({c}), 2))")  # noqa: E731  a half byte leads the mark
+    return out.withColumns({c: text(c) for c in ("fingerprint", "edited_fingerprint")})
 
 
 def op4_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """Word and term statistics.
 
 Every grouping is a partial aggregate before its exchange, and statistics are
-attached by equi-joins instead of windows: a term or document that holds a third
-of all rows is then split by the adaptive skew join, where a window would sort it
-in one task. The small sides (one row per term or document) carry no broadcast
-hint; the planner broadcasts them only when their measured size allows it.
+attached by equi-joins instead of windows, which would sort a hot key in one task.
+Both sides are written first: the adaptive skew join splits a term or document that
+holds a third of all rows only between two plain scans, not above an aggregate. The
+small sides (one row per term or document) carry no broadcast hint; the planner
+broadcasts them only when their measured size allows it.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brevia.functions import text as tx
+from brevia.session import materialise
 
 
 def word_count(terms: DataFrame) -> DataFrame:
@@ -39,7 +41,9 @@ def doc_totals(tf: DataFrame) -> DataFrame:
 
 def term_share(tf: DataFrame) -> DataFrame:
     """``(doc_id, term, n, doc_total)``."""
-    return tf.join(doc_totals(tf), "doc_id").select("doc_id", "term", "n", "doc_total")
+    tf = materialise(tf, "term-freq")
+    totals = materialise(doc_totals(tf), "doc-totals")
+    return tf.join(totals, "doc_id").select("doc_id", "term", "n", "doc_total")
 
 
 def document_shares(docs: DataFrame, stop_words: Iterable[str] | None = None) -> DataFrame:
@@ -60,12 +64,8 @@ def document_shares(docs: DataFrame, stop_words: Iterable[str] | None = None) ->
 
 
 def doc_freq(tf: DataFrame) -> DataFrame:
-    """Documents holding each term: ``(term, df)``.
-
-    The sum reads ``n`` so that the plan below keeps the same columns as the rows it
-    is joined with, and both share one exchange instead of tokenising twice.
-    """
-    return tf.groupBy("term").agg(F.sum((F.col("n") > 0).cast("long")).alias("df"))
+    """Documents holding each term: ``(term, df)``."""
+    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def tfidf(shares: DataFrame, n_docs: Column) -> DataFrame:
@@ -74,7 +74,9 @@ def tfidf(shares: DataFrame, n_docs: Column) -> DataFrame:
     ``n_docs`` is a scalar (see ``sources.documents.n_docs``), so no cross join.
     """
     share = F.col("n") / F.col("doc_total")
-    weighted = shares.join(doc_freq(shares), "term").withColumn("n_docs", n_docs)
+    shares = materialise(shares, "shares")
+    freq = materialise(doc_freq(shares), "doc-freq")
+    weighted = shares.join(freq, "term").withColumn("n_docs", n_docs)
     return weighted.select(
         "doc_id",
         "term",

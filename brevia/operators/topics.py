@@ -1,9 +1,7 @@
 """Topic models over bags of words ``(doc_id, term, n)``.
 
-Inference is Spark ML's LDA. Up to ``ONLINE_CELLS`` model cells (terms x topics) the
-online optimiser is used, whose topic matrix lives on the driver and is sent to the
-tasks; a larger vocabulary goes to the EM optimiser, which keeps the matrix
-distributed. No term is dropped in either case.
+Inference is Spark ML's LDA by expectation maximisation, at every size: each round reads
+every document, and the topic matrix stays distributed. No term is dropped.
 """
 
 from __future__ import annotations
@@ -15,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brevia.functions import text as tx
-from brevia.session import materialise, scratch_path
+from brevia.session import checkpoint_dir, materialise, scratch_path
 from brevia.sources.sinks import read_vectors, write_vectors
 
 # Settings of the two models.
@@ -26,8 +24,10 @@ CORPUS_TOPICS = 4
 CORPUS_ALPHA = 0.5
 CORPUS_TERMS = 50
 
-# Doubles in a driver-side topic matrix (256 MB).
-ONLINE_CELLS = 32_000_000
+# Rounds over the whole corpus; Spark's optimiser has no convergence test.
+ROUNDS = 50
+# Rounds between two checkpoints of the graph, which cut its lineage.
+CHECKPOINT_ROUNDS = 10
 
 
 def bag_of_letter_terms(docs: DataFrame, stop_words=None, **elements) -> DataFrame:
@@ -67,10 +67,9 @@ def vocabulary(bag: DataFrame) -> DataFrame:
 
 @dataclass
 class Topics:
-    """``terms`` is ``(topic, rank, term, weight)``; ``optimizer`` tells how it was fitted."""
+    """``terms`` is ``(topic, rank, term, weight)``."""
 
     terms: DataFrame
-    optimizer: str
     vocabulary_size: int
 
 
@@ -80,8 +79,7 @@ def fit_topics(
     top_n: int,
     alpha: float | None = None,
     seed: int = CLUSTER_SEED,
-    max_iter: int = 20,
-    subsampling: float = 0.05,
+    max_iter: int = ROUNDS,
 ) -> Topics:
     """Fit ``k`` topics and describe each by its ``top_n`` terms."""
     spark = bag.sparkSession
@@ -93,14 +91,13 @@ def fit_topics(
         bag.join(vocab, "term").select("doc_id", "idx", F.col("n").alias("w")), size, path
     )
     features = read_vectors(spark, path)
-    optimizer = "online" if size * k <= ONLINE_CELLS else "em"
-    lda = LDA(k=k, seed=seed, maxIter=max_iter, optimizer=optimizer, featuresCol="features")
-    if optimizer == "online":
-        lda.setSubsamplingRate(subsampling)
-        if alpha is not None:
-            lda.setDocConcentration([alpha]).setOptimizeDocConcentration(False)
-    elif alpha is not None:
-        # the EM optimiser is a MAP estimate: its prior is one above the Dirichlet's
+    # the session may name a checkpoint folder that its context has not been told of
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
+    lda = LDA(k=k, seed=seed, maxIter=max_iter, optimizer="em", featuresCol="features")
+    lda.setCheckpointInterval(CHECKPOINT_ROUNDS)
+    if alpha is not None:
+        # a maximum a posteriori estimate: its prior is one above the Dirichlet's
         lda.setDocConcentration([alpha + 1.0])
     described = lda.fit(features).describeTopics(top_n)
     ranked = described.select(
@@ -108,13 +105,12 @@ def fit_topics(
     ).select("topic", "rank", F.col("t.termIndices").alias("idx"), F.col("t.termWeights").alias("weight"))
     # k x top_n rows meet the vocabulary
     terms = vocab.join(F.broadcast(ranked), "idx").select("topic", "rank", "term", "weight")
-    return Topics(materialise(terms, "topics"), optimizer, size)
+    return Topics(materialise(terms, "topics"), size)
 
 
 def cluster_topics(docs: DataFrame, k: int = CLUSTER_TOPICS, top_n: int = CLUSTER_TERMS, **kw) -> Topics:
-    """Topics of the cluster-representative documents; every round sees all of them."""
+    """Topics of the cluster-representative documents."""
     elements = {n: kw.pop(n) for n in ("attributed", "bare", "stop_words") if n in kw}
-    kw.setdefault("subsampling", 1.0)
     return fit_topics(bag_of_letter_terms(docs, **elements), k, top_n, **kw)
 
 

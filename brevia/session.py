@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import weakref
@@ -61,7 +62,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="brevia-checkpoint-"))
         named = spark.sparkContext.getCheckpointDir()

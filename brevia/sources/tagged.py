@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # The tags of a sentence record.
 START_TAG = "<sentence id="
 END_TAG = "</sentence>"
+# File names that the text reader unpacks.
+COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate)$"
 
 
 def record_pattern(start_tag: str, end_tag: str) -> str:
@@ -43,7 +45,8 @@ def read_tagged(
 
     A reader cannot see whether the last piece of a file was terminated. In strict
     mode a file whose pieces and separators add up to more bytes than the file holds
-    has an open tail, and that piece is dropped. The sums are one row per file.
+    has an open tail, and that piece is dropped. The sums are one row per file. The
+    bytes of a compressed file are counted by a second scan of such files alone.
     """
     pieces = (
         spark.read.option("lineSep", end_tag)
@@ -65,11 +68,30 @@ def read_tagged(
             pieces.groupBy("doc_id")
             .agg(
                 F.sum(F.octet_length("value") + F.lit(tag_bytes)).alias("read"),
-                F.max("size").alias("size"),
+                F.max("size").alias("stored"),
                 F.max("pos").alias("pos"),
             )
-            .where(F.col("read") > F.col("size"))
+            .join(_unpacked_sizes(spark, path, end_tag), "doc_id", "left")
+            .where(F.col("read") > F.coalesce("unpacked", "stored"))
             .select("doc_id", "pos")
         )
         records = records.join(open_tails, ["doc_id", "pos"], "left_anti")
     return records.select("doc_id", "name", "pos", F.concat("raw", F.lit(end_tag)).alias("raw"))
+
+
+def _unpacked_sizes(spark: SparkSession, path: str, end_tag: str) -> DataFrame:
+    """``(doc_id, unpacked)`` of compressed files, exact where the end tag ends the file.
+
+    Pieces are cut at the last character of the end tag. A file that ends in the end tag
+    ends in that character too, so pieces and separators add up to its bytes. Any other
+    file comes out at most one byte too long, less than the end tag overshoots.
+    """
+    if len(end_tag) < 2 or not end_tag.isascii():
+        raise ValueError("strict mode needs an ASCII end tag of two characters or more")
+    return (
+        spark.read.option("lineSep", end_tag[-1])
+        .text(path)
+        .where(F.col("_metadata.file_name").rlike(COMPRESSED))
+        .groupBy(F.col("_metadata.file_path").alias("doc_id"))
+        .agg(F.sum(F.octet_length("value") + F.lit(1)).alias("unpacked"))
+    )

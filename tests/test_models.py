@@ -113,14 +113,12 @@ def test_vocabulary_is_dense_and_ordered(spark):
     assert [r.term for r in rows] == sorted(str(i) for i in range(5000))
 
 
-@pytest.mark.parametrize("cells, optimizer", [(topics.ONLINE_CELLS, "online"), (1, "em")])
-def test_topics_use_the_optimizer_the_model_size_allows(spark, monkeypatch, cells, optimizer):
-    monkeypatch.setattr(topics, "ONLINE_CELLS", cells)
+def test_topics_describe_the_whole_vocabulary(spark):
     docs = corpus(spark)
     tf = stats.term_freq(src.terms(src.sentences(docs)))
-    model = topics.corpus_topics(tf, k=2, top_n=5, max_iter=5, subsampling=1.0)
+    model = topics.corpus_topics(tf, k=2, top_n=5, max_iter=5)
     rows = model.terms.collect()
-    assert model.optimizer == optimizer and model.vocabulary_size == 16
+    assert model.vocabulary_size == 16
     assert {(r.topic, r["rank"]) for r in rows} == {(t, r) for t in range(2) for r in range(5)}
     assert {r.term for r in rows} <= {r.term for r in tf.select("term").collect()}
     found = topics.distinct_terms(model.terms)
@@ -154,3 +152,37 @@ def ranking_scores(terms, weights):
     from brevia.operators import ranking
 
     return ranking.sentence_scores(terms, stats.letter_weights(weights))
+
+
+def test_a_hot_term_or_document_is_split(spark):
+    """One term in all documents, one document with most terms: the joins are skew joins."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.files.maxPartitionBytes": "16k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        ids = spark.range(30_000).repartition(8)
+        hot_term = ids.select("id", F.lit("hot").alias("term"))
+        own_term = ids.select("id", F.concat(F.lit("t"), "id").alias("term"))
+        hot_doc = ids.select((F.col("id") * 0 - 1).alias("id"), F.concat(F.lit("t"), "id").alias("term"))
+        rows = hot_term.unionByName(own_term).unionByName(hot_doc)
+        tf = rows.select(F.col("id").alias("doc_id"), "term", F.lit(1).cast("long").alias("n"))
+        shares = stats.term_share(tf)
+        weights = stats.tfidf(shares, F.lit(30_001))
+        for df in (shares, weights):
+            df.write.format("noop").mode("overwrite").save()
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "skew=true" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

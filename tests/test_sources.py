@@ -1,5 +1,7 @@
 """Tagged files, whole documents and sinks."""
 
+import bz2
+import gzip
 import random
 
 import pytest
@@ -24,6 +26,15 @@ def test_stray_end_tag_and_open_tail(spark, tmp_path):
     assert raws(tagged.tagged_records(df, "doc_id", "text")) == want
 
 
+@pytest.mark.parametrize("pack, suffix", [(gzip.compress, "gz"), (bz2.compress, "bz2")])
+def test_compressed_files_keep_their_last_record(spark, tmp_path, pack, suffix):
+    text = "".join(f"<sentence id={i}>é > {i}</sentence>" for i in range(100))
+    for name, tail in (("whole", ""), ("feed", "\n"), ("open", "<sentence id=x>y"), ("edge", "<sentence id=x>")):
+        (tmp_path / f"{name}.txt.{suffix}").write_bytes(pack((text + tail).encode()))
+    rows = tagged.read_tagged(spark, str(tmp_path)).groupBy("name").count().collect()
+    assert {r["name"].split(".")[0]: r["count"] for r in rows} == dict.fromkeys(("whole", "feed", "open", "edge"), 100)
+
+
 def test_a_terminated_last_record_stays_and_text_outside_is_skipped(spark, tmp_path):
     (tmp_path / "a.txt").write_text("junk é\n<sentence id='1'>x\ny</sentence>")
     (tmp_path / "b.txt").write_text("<sentence id='1'>z</sentence>\ntail é")
@@ -108,6 +119,9 @@ def test_an_unset_folder_is_temporary_in_local_mode_only(monkeypatch):
     first = checkpoint_dir(Session)
     assert first == checkpoint_dir(Session) == Session.sparkContext.folder
     Session.sparkContext = Context()
+    Session.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session)
     Session.sparkContext.master = "spark://host:7077"
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session)

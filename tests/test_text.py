@@ -127,12 +127,10 @@ def test_sentences_without_tokens_are_not_ranked_and_order_is_numeric(spark):
     assert ranking.sentence_scores(terms, weights).select("pos").collect() == [(1,)]
 
 
-@pytest.mark.parametrize("bound", [10, 0])
-def test_topic_terms_inlined_and_joined_agree(spark, monkeypatch, bound):
-    monkeypatch.setattr(ranking.bounded_terms, "__defaults__", (bound,))
+def test_topic_terms_fold_and_null_terms_match_nothing(spark):
     sents = src.sentences(docs_of(spark, "Court rose\nno hit\ncourt court"))
     clean, terms = src.clean(sents, ()), src.terms(sents, ())
-    topic = spark.createDataFrame([("court",), ("absent",)], "term string")
+    topic = spark.createDataFrame([("court",), ("absent",), (None,)], "term string")
     pos = lambda df: sorted(r.pos for r in df.collect())
     assert pos(ranking.topic_sentences(clean, topic)) == [2]
     assert pos(ranking.topic_sentences(clean, topic, case_sensitive=False)) == [0, 2]
@@ -140,6 +138,9 @@ def test_topic_terms_inlined_and_joined_agree(spark, monkeypatch, bound):
     assert ranking.topic_term_counts(terms, topic).collect() == [("court", 2)]
     folded = ranking.topic_term_counts(terms, topic, case_sensitive=False).collect()
     assert sorted(map(tuple, folded)) == [("Court", 1), ("court", 2)]
+    tokens = spark.createDataFrame([(0, 0, ["Éa", "x"]), (0, 1, [])], "doc_id long, pos int, tokens array<string>")
+    assert pos(ranking.topic_sentences(tokens, ["éA"], case_sensitive=False)) == [0]
+    assert pos(ranking.topic_sentences(tokens, ["éA"])) == []
 
 
 def test_words_without_an_entry_take_no_slot_and_the_first_part_of_speech_wins(spark):

@@ -21,8 +21,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 PAGE_ELEMENTS = ("title", "script", "style")
 # Size of the term list that stands in for a topic model where SQL must define it.
 FREQUENT_TERMS = 50
-# Part of speech that stands for each language in the derived lexicon.
-LANGUAGE_POS = {"en": "noun", "fr": "adjective", "de": "verb", "es": "adverb"}
+# Part of speech that stands for each role in the derived lexicon.
+ROLE_POS = {"user": "noun", "assistant": "verb", "system": "adverb"}
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
@@ -244,17 +244,17 @@ def doc_vectors_positional(spark: SparkSession, d: str) -> DataFrame:
 
 
 def derived_lexicon(spark: SparkSession, d: str) -> DataFrame:
-    """A lexicon out of the corpus: the spellings of a word by language.
+    """A lexicon out of the conversations: the spellings of a word by role.
 
-    Each language stands for a part of speech and a lower-case spelling is the later
-    sense. Spellings that end in "e" are left out, so that some words have no entry.
+    Each role stands for a part of speech and a lower-case spelling is the later sense.
+    Words of the documents that no conversation uses have no entry.
     """
-    docs = src.table(spark, d, "documents").where(F.col("lang").isin(*LANGUAGE_POS))
+    turns = src.table(spark, d, "conversations").where(F.col("role").isin(*ROLE_POS))
     pos = F.lit(None).cast("string")
-    for lang, name in LANGUAGE_POS.items():
-        pos = F.when(F.col("lang") == lang, name).otherwise(pos)
-    words = src.spread(docs.select(pos.alias("pos"), "text")).select(
-        "pos", F.explode_outer(tx.clean_tokens(F.col("text"))).alias("synonym")
+    for role, name in ROLE_POS.items():
+        pos = F.when(F.col("role") == role, name).otherwise(pos)
+    words = turns.select(
+        pos.alias("pos"), F.explode_outer(tx.clean_tokens(F.col("text"))).alias("synonym")
     )
     return (
         words.where("synonym IS NOT NULL")
@@ -266,7 +266,6 @@ def derived_lexicon(spark: SparkSession, d: str) -> DataFrame:
             F.lit(0).alias("ordinal"),
             "synonym",
         )
-        .where("synonym NOT LIKE '%e'")
     )
 
 

@@ -6,7 +6,7 @@ from brevia.functions.stopwords import default_stop_words
 from brevia.functions.text import CLEAN_TOKEN, LETTER_RUN, NON_LETTER, TAG, TOKEN
 from brevia.operators.clustering import CLUSTERS
 from brevia.operators.ranking import TOP_SENTENCES
-from brevia.plans.catalog import FREQUENT_TERMS, LANGUAGE_POS, PAGE_ELEMENTS
+from brevia.plans.catalog import FREQUENT_TERMS, PAGE_ELEMENTS
 
 # The second engine's blank class lacks the vertical tab, so both classes are spelt out.
 _NON_WORD = r"[^0-9A-Za-z_ \t\n\r\f\v]"
@@ -37,9 +37,6 @@ def _ctes() -> dict[str, str]:
         f"list_filter(regexp_extract_all(regexp_replace(raw, '{TAG}', '', 'g'), "
         f"'{_clean_token()}'), lambda t: lower(t) NOT IN ({stop}))"
     )
-    pos_case = " ".join(f"WHEN '{lang}' THEN '{pos}'" for lang, pos in LANGUAGE_POS.items())
-    langs = ", ".join(f"'{lang}'" for lang in LANGUAGE_POS)
-    rank_case = " ".join(f"WHEN '{p}' THEN {i}" for i, p in enumerate(LANGUAGE_POS.values()))
     return {
         "lines": """SELECT doc_id, (i - 1)::INT AS pos, raw FROM (
             SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
@@ -66,15 +63,16 @@ def _ctes() -> dict[str, str]:
             ORDER BY score DESC, sentence DESC LIMIT {TOP_SENTENCES}""",
         "vocab": """SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM df """,
         "frequent": f"SELECT term FROM df ORDER BY df DESC, term LIMIT {FREQUENT_TERMS}",
-        "lexicon": f"""SELECT DISTINCT CASE lang {pos_case} END AS pos, synonym,
+        "lexicon": f"""SELECT DISTINCT CASE role WHEN 'user' THEN 'noun'
+            WHEN 'assistant' THEN 'verb' WHEN 'system' THEN 'adverb' END AS pos, synonym,
             lower(synonym) AS lemma, (synonym = lower(synonym))::INT AS sense FROM (
-            SELECT lang, unnest(regexp_extract_all(text, '{_clean_token()}')) AS synonym
-            FROM documents WHERE lang IN ({langs}) )
-            WHERE lower(synonym) NOT IN ({stop}) AND synonym NOT LIKE '%e' """,
+            SELECT role, unnest(regexp_extract_all(text, '{_clean_token()}')) AS synonym
+            FROM conversations WHERE role IN ('user', 'assistant', 'system') )
+            WHERE lower(synonym) NOT IN ({stop}) """,
         "known": """SELECT term, n FROM counts WHERE lower(term) IN (SELECT lemma FROM lexicon )
             ORDER BY n DESC, term LIMIT 15""",
-        "hits": f"""SELECT term, n, sense, synonym,
-            CASE pos {rank_case} END AS pos_rank FROM known JOIN lexicon ON lemma = lower(term)""",
+        "hits": """SELECT term, n, sense, synonym,
+            CASE pos WHEN 'noun' THEN 0 WHEN 'verb' THEN 1 WHEN 'adverb' THEN 2 END AS pos_rank FROM known JOIN lexicon ON lemma = lower(term)""",
         "grams": """SELECT doc_id, pos, list_distinct(list_transform(
             range(1, length(sentence) - 1), lambda i: sentence[i:i+2])) AS grams FROM clean """,
         "seeds": f"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS cluster, doc_id FROM (

@@ -108,6 +108,30 @@ def vector_sink_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return _vector_sizes(sinks.read_vectors(spark, path))
 
 
+# files, written from a table and scanned
+
+
+def tagged_file_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Occurrences of each tagged record, scanned from text files that hold them."""
+    path = scratch_path(spark, "tagged")
+    sinks.write_lines(tagged_records(spark, d), "raw", path)
+    records = tagged.read_tagged(spark, path, "<p>", "</p>")
+    return records.groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+
+
+def document_file_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Documents scanned from one text file each; the folder name carries the id."""
+    path = scratch_path(spark, "documents")
+    docs = src.documents(spark, d).select("doc_id", "text")
+    docs.write.partitionBy("doc_id").text(path)
+    read = src.read_documents(spark, path)
+    return read.select(
+        F.regexp_extract("doc_id", "/doc_id=([0-9]+)/", 1).cast("long").alias("doc_id"),
+        # the writer ends each text with a line feed
+        F.expr("substring(text, 1, length(text) - 1)").alias("text"),
+    )
+
+
 # text functions
 
 
@@ -356,10 +380,21 @@ def kmeans_l1(spark: SparkSession, d: str) -> DataFrame:
     return clustering.kmeans(vectors, clustering.seeds(vectors, seed=1))[1]
 
 
+def kmeans_l1_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """The assignment after exactly three rounds, from the first ids as seeds."""
+    vectors = materialise(_vectors(spark, d), "vectors")
+    return clustering.kmeans(vectors, clustering.seeds(vectors), delta=0.0, max_rounds=3)[1]
+
+
 def cluster_representatives(spark: SparkSession, d: str) -> DataFrame:
     return clustering.representatives(_first_round(_vectors(spark, d))[2])
 
 
+def cluster_seed_representatives(spark: SparkSession, d: str) -> DataFrame:
+    vectors, _, assignment = _first_round(_vectors(spark, d))
+    return clustering.representatives(assignment, seed_docs=clustering.seeds(vectors))
+
+
 def representative_docs(spark: SparkSession, d: str) -> DataFrame:
     reps = clustering.representatives(_first_round(_vectors(spark, d))[2])
     return clustering.representative_documents(
@@ -398,6 +433,32 @@ def topic_term_counts_lda(spark: SparkSession, d: str) -> DataFrame:
     return ranking.topic_term_counts(_terms(spark, d), found)
 
 
+def topic_term_counts_cluster(spark: SparkSession, d: str) -> DataFrame:
+    found = topics.distinct_terms(_cluster_topics(spark, d))
+    return ranking.topic_term_counts(_terms(spark, d), found)
+
+
+def lda_corpus_shape(spark: SparkSession, d: str) -> DataFrame:
+    """Terms and ranks of each topic, and how many of its terms no document has."""
+    found = _corpus_topics(spark, d)
+    words = word_count(spark, d).select(F.lower("term").alias("term")).distinct()
+    known = words.withColumn("known", F.lit(1))
+    return (
+        found.join(known, "term", "left")
+        .groupBy("topic")
+        .agg(
+            F.count(F.lit(1)).alias("n_terms"),
+            (F.max("rank") + 1).cast("long").alias("n_ranks"),
+            F.count_if(F.col("known").isNull()).alias("n_unknown"),
+        )
+    )
+
+
+def summary_topics_frequent(spark: SparkSession, d: str) -> DataFrame:
+    """The topic summary with the most frequent terms in a topic model's place."""
+    return phases.topic_summary(_clean(spark, d), _frequent_terms(spark, d))
+
+
 def summary_topics_cluster(spark: SparkSession, d: str) -> DataFrame:
     return phases.topic_summary(_clean(spark, d), _cluster_topics(spark, d))
 
@@ -423,6 +484,8 @@ QUERIES: dict[str, Query] = {
         text_sink_round_trip,
         line_sink_round_trip,
         vector_sink_round_trip,
+        tagged_file_round_trip,
+        document_file_round_trip,
         strip_tags,
         punct_to_space,
         tokens,
@@ -457,12 +520,17 @@ QUERIES: dict[str, Query] = {
         kmeans_l1_dense_assign,
         kmeans_l1_dense_update,
         kmeans_l1,
+        kmeans_l1_rounds,
         cluster_representatives,
+        cluster_seed_representatives,
         representative_docs,
         lda_cluster_topics,
         lda_corpus_topics,
         lda_corpus_terms,
         topic_term_counts_lda,
+        topic_term_counts_cluster,
+        lda_corpus_shape,
+        summary_topics_frequent,
         summary_topics_cluster,
         summary_topics_corpus,
     )

@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from brevia.functions.stopwords import default_stop_words
-from brevia.functions.text import CLEAN_TOKEN, LETTER_RUN, NON_LETTER, TAG, TOKEN
-from brevia.operators.clustering import CLUSTERS
-from brevia.operators.ranking import TOP_SENTENCES
-from brevia.plans.catalog import FREQUENT_TERMS, PAGE_ELEMENTS
 
+# Spelt out here and not imported, so that a wrong value of the library shows.
+TAG = "<[^>]*>"
+TOKEN = r"[^ \t\n\r\f]+"
+CLEAN_TOKEN = r"[0-9A-Za-z_\v]+"
+LETTER_RUN = r"[\p{L}_]+"
+NON_LETTER = "[^a-zA-Z]"
+PAGE_ELEMENTS = ("title", "script", "style")
+CLUSTERS = 5
+TOP_SENTENCES = 400
+FREQUENT_TERMS = 50
 # The second engine's blank class lacks the vertical tab, so both classes are spelt out.
 _NON_WORD = r"[^0-9A-Za-z_ \t\n\r\f\v]"
 
@@ -35,7 +41,7 @@ def _ctes() -> dict[str, str]:
     stop = _stop()
     clean_list = (
         f"list_filter(regexp_extract_all(regexp_replace(raw, '{TAG}', '', 'g'), "
-        f"'{_clean_token()}'), lambda t: lower(t) NOT IN ({stop}))"
+        f"'{CLEAN_TOKEN}'), lambda t: lower(t) NOT IN ({stop}))"
     )
     return {
         "lines": """SELECT doc_id, (i - 1)::INT AS pos, raw FROM (
@@ -66,7 +72,7 @@ def _ctes() -> dict[str, str]:
         "lexicon": f"""SELECT DISTINCT CASE role WHEN 'user' THEN 'noun'
             WHEN 'assistant' THEN 'verb' WHEN 'system' THEN 'adverb' END AS pos, synonym,
             lower(synonym) AS lemma, (synonym = lower(synonym))::INT AS sense FROM (
-            SELECT role, unnest(regexp_extract_all(text, '{_clean_token()}')) AS synonym
+            SELECT role, unnest(regexp_extract_all(text, '{CLEAN_TOKEN}')) AS synonym
             FROM conversations WHERE role IN ('user', 'assistant', 'system') )
             WHERE lower(synonym) NOT IN ({stop}) """,
         "known": """SELECT term, n FROM counts WHERE lower(term) IN (SELECT lemma FROM lexicon )
@@ -96,12 +102,6 @@ def _ctes() -> dict[str, str]:
     }
 
 
-def _clean_token() -> str:
-    # the same class as CLEAN_TOKEN in the second engine's spelling
-    assert CLEAN_TOKEN == r"[\w\x0B]+"
-    return r"[0-9A-Za-z_\v]+"
-
-
 _SPARSE = "vectors AS (SELECT doc_id, term, tfidf AS w FROM weights),\n"
 _DENSE = """vectors AS (SELECT vec_id AS doc_id, unnest(embedding)::DOUBLE AS w,
     (generate_subscripts(embedding, 1) - 1)::INT AS term FROM embeddings),\n"""
@@ -115,6 +115,31 @@ def _clustered(vectors: str, tail: str, *extra: str) -> str:
     return head + vectors + ",\n".join(f"{n} AS ({ctes[n]})" for n in names) + "\n" + tail
 
 
+def _rounds(n: int) -> str:
+    """Assignment after ``n`` rounds, each a group of subqueries with its number."""
+    ctes = _ctes()
+    parts = [f"seeds AS ({ctes['seeds']})", f"norms AS ({ctes['norms']})", f"centres0 AS ({ctes['centres']})"]
+    for r in range(n + 1):
+        parts += [
+            f"""centre_norms{r} AS (SELECT cluster, sum(abs(w)) AS centre_norm
+                FROM centres{r} GROUP BY cluster)""",
+            f"""common{r} AS (SELECT v.doc_id, c.cluster, sum(abs(v.w - c.w) - abs(v.w) - abs(c.w)) AS gap
+                FROM vectors v JOIN centres{r} c ON v.term = c.term GROUP BY v.doc_id, c.cluster)""",
+            f"""assigned{r} AS MATERIALIZED (SELECT doc_id, cluster::INT AS cluster,
+                round(norm + centre_norm + coalesce(gap, 0.0), 9) AS distance
+                FROM norms CROSS JOIN centre_norms{r} LEFT JOIN common{r} USING (doc_id, cluster)
+                QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY distance, cluster) = 1)""",
+            f"""centres{r + 1} AS MATERIALIZED (SELECT cluster, term, sum(w) / any_value(size) AS w
+                FROM vectors JOIN assigned{r} USING (doc_id)
+                JOIN (SELECT cluster, count(*) AS size FROM assigned{r} GROUP BY cluster) USING (cluster)
+                GROUP BY cluster, term
+                UNION ALL SELECT cluster, term, w FROM centres{r}
+                WHERE cluster NOT IN (SELECT cluster FROM assigned{r}))""",
+        ]
+    head = _with("weights").rstrip("\n") + ",\n" + _SPARSE
+    return head + ",\n".join(parts) + f"\nSELECT doc_id, cluster, distance FROM assigned{n}"
+
+
 def oracle_sql() -> dict[str, str]:
     stop = _stop()
     elements = "|".join([*(f"<{e}>.*?</{e}>" for e in PAGE_ELEMENTS), "<[^>]+>"])
@@ -133,6 +158,9 @@ def oracle_sql() -> dict[str, str]:
         "vector_sink_round_trip": _with("weights")
         + "SELECT doc_id, count(*) AS entries, round(sum(tfidf), 6) AS total "
         "FROM weights GROUP BY doc_id",
+        "tagged_file_round_trip": """SELECT raw, count(*) AS n FROM (
+            SELECT unnest(regexp_extract_all(html, '(?s)<p>.*?</p>')) AS raw FROM pages) GROUP BY raw""",
+        "document_file_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
         "strip_tags": f"SELECT page_id, regexp_replace(html, '{TAG}', '', 'g') AS stripped FROM pages",
         "punct_to_space": _with("lines")
         + f"SELECT doc_id, pos, regexp_replace(raw, '{_NON_WORD}', ' ', 'g') AS words FROM lines",
@@ -191,6 +219,17 @@ def oracle_sql() -> dict[str, str]:
         "topic_sentences": _with("terms", "frequent")
         + """SELECT doc_id, pos, sentence FROM clean SEMI JOIN
             (SELECT doc_id, pos FROM terms SEMI JOIN frequent USING (term)) USING (doc_id, pos)""",
+        "summary_topics_frequent": _near_dup(
+            """SELECT DISTINCT sentence FROM clean SEMI JOIN
+            (SELECT doc_id, pos FROM terms SEMI JOIN frequent USING (term)) USING (doc_id, pos)""",
+            "terms",
+            "frequent",
+        )
+        + "SELECT sentence FROM profiled WHERE sentence NOT IN (SELECT sentence FROM dropped)",
+        "lda_corpus_shape": _with("counts").rstrip("\n")
+        + """, words AS (SELECT least(50, count(DISTINCT lower(term))) AS n FROM counts)
+            SELECT t::INT AS topic, n AS n_terms, n AS n_ranks, 0::BIGINT AS n_unknown
+            FROM words, range(4) r(t)""",
         "summary_top_rank": _with("best").rstrip("\n")
         + """, grams AS (SELECT sentence, list_distinct(list_transform(
             range(1, length(sentence) - 1), lambda i: sentence[i:i+2])) AS g FROM best),
@@ -212,6 +251,12 @@ def oracle_sql() -> dict[str, str]:
         "kmeans_l1_dense_update": _clustered(
             _DENSE, "SELECT cluster, term AS idx, w FROM means", "means"
         ),
+        "kmeans_l1_rounds": _rounds(3),
+        "cluster_seed_representatives": _clustered(
+            _SPARSE,
+            "SELECT seeds.cluster::INT AS cluster, 1::INT AS rank, doc_id, distance "
+            "FROM seeds JOIN assigned USING (doc_id)",
+        ),
         "cluster_representatives": _clustered(_SPARSE, "SELECT * FROM reps", "reps"),
         "representative_docs": _clustered(
             _SPARSE, "SELECT doc_id, text FROM documents SEMI JOIN reps USING (doc_id)", "reps"
@@ -219,14 +264,14 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
-def _near_dup(source: str) -> str:
+def _near_dup(source: str, *names: str) -> str:
     """Exact pass over all sentences: similar pairs share 12 of their rarest shingles.
 
     With shingles ranked rarest first, sets with Jaccard >= 0.8 share at least 12 of
     their first ``m - ceil(0.8 m) + 12`` ones, or all they must share if that is less.
     """
     return (
-        _with("clean").rstrip("\n")
+        _with("clean", *names).rstrip("\n")
         + f""",
         distinct_sentences AS ({source}),
         profiled AS (SELECT row_number() OVER (ORDER BY sentence) AS id, sentence,

@@ -79,6 +79,9 @@ def test_assignment_distance_and_representatives(spark):
         (0, 2, 2),
         (1, 1, 1),
     ]
+    seed_docs = clustering.seeds(vectors, 2)
+    began = clustering.representatives(rows, seed_docs=seed_docs)
+    assert sorted(tuple(r) for r in began.collect()) == [(0, 1, 0, 0.0), (1, 1, 1, 0.0)]
     docs = spark.createDataFrame([(i, "x") for i in range(4)], "doc_id long, text string")
     kept = clustering.representative_documents(docs, reps)
     assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2]

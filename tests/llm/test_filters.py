@@ -142,3 +142,76 @@ def test_probabilities_sum_to_one(spark, table):
     bits = kn_quality._tables(counts, [""])[""]
     total = (2.0 ** -bits.astype(float)).reshape(-1, kn_quality.SYMBOLS).sum(axis=1)
     assert np.allclose(total, 1, atol=1e-4)
+
+
+def brute_bits(counts, base):
+    """Interpolated modified Kneser-Ney of trigram counts {(a, b, c): n}; ``base`` of unigrams."""
+
+    def order(counts):
+        f = [sum(n == k for n in counts.values()) for k in range(5)]
+        y = f[1] / (f[1] + 2 * f[2]) if f[1] + 2 * f[2] else None
+        d = []
+        for k, usual in ((1, 0.5), (2, 1.0), (3, 1.5)):
+            found = k - (k + 1) * y * f[k + 1] / f[k] if y is not None and f[k] else usual
+            d.append(max(0.1, min(k - 0.1, found)))
+        total, back = collections.Counter(), collections.Counter()
+        for g, n in counts.items():
+            total[g[:-1]] += n
+            back[g[:-1]] += d[min(n, 3) - 1]
+        share = {g: (n - d[min(n, 3) - 1]) / total[g[:-1]] for g, n in counts.items()}
+        return share, {c: back[c] / total[c] for c in total}
+
+    orders = [counts]
+    for _ in range(2):
+        orders.append(collections.Counter(g[1:] for g in orders[-1]))
+    orders = [order(c) for c in reversed(orders)]
+
+    def p(g):
+        out = base(g[-1])
+        for k, (share, back) in enumerate(orders):
+            own = g[2 - k :]
+            out = share.get(own, 0.0) + back.get(own[:-1], 1.0) * out
+        return out
+
+    return p
+
+
+@pytest.mark.parametrize("head, partitions", [(1 << 20, 1), (0, 7)])
+def test_quality_full_vocabulary_matches_brute_force(spark, monkeypatch, head, partitions):
+    """Every word counts, however rare and however rows are dealt."""
+    import math
+
+    monkeypatch.setattr(kn_quality, "HEAD", head)
+    rng = random.Random(5)
+    names = [f"{a}{b}" for a in "abcdefghijkl" for b in "mnopqrstuvwx"]
+    text = lambda tag: " ".join(rng.choice(names) + rng.choice(("", "", tag)) for _ in range(12))
+    rows = [(k, lang, text(lang)) for k in range(60) for lang in ("en", "fr")]
+    rows = [(j, lang, t) for j, (_, lang, t) in enumerate(rows)]
+    rows += [(900, "en", "idiot " + rows[0][2]), (901, "xx", rows[0][2]), (None, "en", rows[2][2]), (None, "en", rows[4][2]), (None, "en", rows[4][2])]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(0, 100)], "doc_id bigint, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string").repartition(partitions)
+    scores = kn_quality.score(docs, labels).collect()
+    held_out = {r.doc_id for r in scores if r.trusted}
+    assert held_out and {r.doc_id for r in scores if r.mixed} == held_out
+    grams = {"en": collections.Counter(), "fr": collections.Counter()}
+    reader = kn_quality.Reader()
+    read = lambda t: list(zip(*[x.tolist() for x in reader.read(t)]))
+    for i, lang, t in rows:
+        if i is not None and i < 100 and i not in held_out:
+            grams[lang].update(read(t))
+    every = grams["en"] + grams["fr"]
+    symbols = len({g[-1] for g in every}) + 1
+    models = {"": brute_bits(every, lambda c: 1 / symbols)}
+    # the unigrams of all trusted text are the base of each language
+    alone = brute_bits(every, lambda c: 1 / symbols)
+    for lang in grams:
+        models[lang] = brute_bits(grams[lang], lambda c: alone((-1, -2, c)))
+    expected = []
+    for i, lang, t in rows:
+        found = read(t)
+        for model in [lang if lang in grams else ""] + [""] * (i in held_out):
+            bits = -sum(math.log2(models[model](g)) for g in found) / len(found)
+            expected.append((str(i), model, len(found), round(bits, 5)))
+    got = [(str(r.doc_id), r.model, r.n_symbols, round(r.bits, 5)) for r in scores]
+    assert [x[:3] for x in sorted(got)] == [x[:3] for x in sorted(expected)]
+    assert all(abs(x[3] - y[3]) < 1e-4 for x, y in zip(sorted(got), sorted(expected)))

@@ -215,3 +215,28 @@ def test_quality_full_vocabulary_matches_brute_force(spark, monkeypatch, head, p
     got = [(str(r.doc_id), r.model, r.n_symbols, round(r.bits, 5)) for r in scores]
     assert [x[:3] for x in sorted(got)] == [x[:3] for x in sorted(expected)]
     assert all(abs(x[3] - y[3]) < 1e-4 for x, y in zip(sorted(got), sorted(expected)))
+
+
+def test_quality_small_languages(spark):
+    """Many languages, most of them small, and one whose only trusted text is held out."""
+    rng = random.Random(8)
+
+    def text(lang):
+        words = [f"{lang}{k}x" for k in range(12)]
+        return " ".join(rng.choice(words) for _ in range(40))
+
+    langs = [f"l{chr(97 + k)}" for k in range(18)]
+    rows = [(lang, text(lang)) for lang in langs for _ in range(24)] + [("one", text("one"))] * 3
+    rows = [(k, lang, t) for k, (lang, t) in enumerate(rows)]
+    rows += [(9000, "la", "idiot pathetic " * 20), (9001, None, rows[0][2]), (9002, "new", "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    labels = [(k, 1, 0) for k, lang, _ in rows if k < 9000 and (k % 24 < 16 or lang == "one")]
+    labels = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    found = {r.doc_id: r for r in kn_quality.classify(docs, labels).collect()}
+    assert {found[k].lang_model for k, lang, _ in rows if lang in langs} == set(langs)
+    assert found[9001].lang_model == ""
+    unseen = [found[k].keep for k, lang, _ in rows if lang in langs and k % 24 >= 16 and k < 9000]
+    assert sum(unseen) >= 0.95 * len(unseen)
+    assert all(found[k].keep for k, lang, _ in rows if lang == "one")
+    assert all(r.low is not None and r.high is not None for r in found.values())
+    assert not found[9000].keep and not found[9002].keep

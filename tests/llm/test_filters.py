@@ -240,3 +240,20 @@ def test_quality_small_languages(spark):
     assert all(found[k].keep for k, lang, _ in rows if lang == "one")
     assert all(r.low is not None and r.high is not None for r in found.values())
     assert not found[9000].keep and not found[9002].keep
+
+
+def test_quality_counts_do_not_depend_on_slices():
+    import pyarrow as pa
+
+    texts = [f"rare word{k} of few texts" for k in range(9)] + ["rare again of few"]
+
+    def counted(size):
+        out = collections.Counter()
+        rows = pa.record_batch({"m": pa.array([3] * 10, pa.int64()), "text": texts})
+        for x in kn_quality._trigrams(iter([rows.slice(k, size) for k in range(0, 10, size)])):
+            for r in x.to_pylist():
+                out[r["m"], r["a"], r["b"], r["c"]] += r["n"]
+        return out
+
+    assert counted(1) == counted(3) == counted(10)
+    assert sum(counted(10).values()) == 5 * 9 + 4

@@ -10,8 +10,10 @@ an item and one threshold serves all items.
 Posting lists are in blocks of ``BLOCK`` items. The block maxima bound every passage against
 every block at once; passages then go through WAND: lists in order of their current item, a
 pivot where the bounds reach the threshold, whole blocks skipped where theirs don't. Hits are
-verified on word n-grams of the question (all but the last line or sentence) and the answer
-(the last) in the passage and a segment on either side.
+verified on word n-grams in the passage and a segment on either side: of the whole item or of its
+question (all but the last line or sentence) a share of ``MIN_OVERLAP`` must be there. The overlap
+with the answer (the last) is reported and decides nothing. Parts of few words have shorter n-grams, so
+that one changed word leaves half of them.
 
 Words are lower-cased and lose their outer punctuation. Null and empty texts and items match
 nothing; an item of one sentence is all question; repeated rows give one row for each pair.
@@ -73,6 +75,11 @@ def _grams(ids: list[int], n: int) -> set[tuple[int, ...]]:
     return {tuple(ids[k : k + n]) for k in range(len(ids) - n + 1)}
 
 
+def gram_size(n: int) -> int:
+    """Words of an n-gram of a part of ``n`` words."""
+    return min(GRAM, max(1, (n + 1) // 3))
+
+
 class Index:
     """Inverted lists of one shard of items."""
 
@@ -80,7 +87,7 @@ class Index:
         self.item_ids = [i for i, _, _ in items]
         self.terms: dict[str, int] = {}
         lists: list[list[tuple[int, float]]] = []
-        self.parts, longest = [], SEGMENT
+        self.parts, self.wholes, self.alone, longest = [], [], [], SEGMENT
         for k, (_, question, answer) in enumerate(items):
             words = question + answer
             longest = max(longest, len(words))
@@ -95,7 +102,11 @@ class Index:
                     lists.append([])
                 lists[t].append((k, weight / own))
             ids = [[self.terms[w] for w in part] for part in (question, answer)]
-            self.parts.append([(min(GRAM, len(p)), _grams(p, min(GRAM, len(p)))) if p else None for p in ids])
+            self.parts.append([(gram_size(len(p)), _grams(p, gram_size(len(p)))) if p else None for p in ids])
+            # a question of a few words is found anywhere, so it needs the rest of the item
+            self.alone.append(len(question) >= GRAM)
+            n = gram_size(len(words))
+            self.wholes.append((n, _grams(ids[0] + ids[1], n)))
         self.segment = longest
         self.lists = [([k for k, _ in x], [w for _, w in x]) for x in lists]
         self.most = [max(w) for _, w in self.lists]
@@ -152,6 +163,11 @@ class Index:
         known = question if question is not None else answer or 0.0
         return known, known if answer is None else answer
 
+    def leaks(self, item: int, ids: list[int], question: float, least: float) -> bool:
+        """Whether the words hold enough of the question or of the whole item."""
+        n, grams = self.wholes[item]
+        return (self.alone[item] and question >= least) or len(grams & _grams(ids, n)) >= least * len(grams)
+
 
 class Matcher:
     """Passages of a slice of texts against an index."""
@@ -218,7 +234,7 @@ class Matcher:
                 words = ids[a : min(starts[text + 1], a + 4 * index.segment)].tolist()
             for item, score in hits:
                 question, answer = index.overlaps(item, words)
-                if min(question, answer) >= self.min_overlap:
+                if index.leaks(item, words, question, self.min_overlap):
                     out[text].append((item, score, question, answer))
         return out
 

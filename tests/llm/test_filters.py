@@ -257,3 +257,28 @@ def test_quality_counts_do_not_depend_on_slices():
 
     assert counted(1) == counted(3) == counted(10)
     assert sum(counted(10).values()) == 5 * 9 + 4
+
+
+def leak_pairs(items, docs):
+    parts = [(i, *decontaminate.parts_of(t)) for i, t in items]
+    df = collections.Counter(w for _, q, a in parts for w in set(q + a))
+    index = decontaminate.Index(parts, df, len(parts), sum(len(q) + len(a) for _, q, a in parts) / len(parts))
+    matcher = decontaminate.Matcher(index, decontaminate.MIN_SCORE, decontaminate.MIN_OVERLAP)
+    return [{items[k][0] for k, *_ in found} for found in matcher.match([d.encode() for d in docs])]
+
+
+def test_cut_and_edited_leaks():
+    item = [f"w{k}" for k in range(40)]
+    short = [f"v{k}" for k in range(7)]
+    items = [(1, " ".join(item[:34]) + ". " + " ".join(item[34:])), (2, " ".join(short)), (3, "is it. " + " ".join(f"u{k}" for k in range(30)))]
+    noise = " noise" * 50
+    edited = short[:3] + ["other"] + short[4:]
+    docs = [
+        " ".join(item[:34]) + noise,  # without the answer
+        " ".join(item[:36] + ["x", "y", "z", "q"]) + noise,
+        " ".join(edited) + noise,
+        " ".join(item[:8]) + noise,  # a fifth of an item
+        " ".join(reversed(item)) + noise,
+        "is it" + noise,
+    ]
+    assert leak_pairs(items, docs) == [{1}, {1}, {2}, set(), set(), set()]

@@ -15,7 +15,8 @@ question (all but the last line or sentence) a share of ``MIN_OVERLAP`` must be
 with the answer (the last) is reported and decides nothing. Parts of few words have shorter n-grams, so
 that one changed word leaves half of them.
 
-Words are lower-cased and lose their outer punctuation. Null and empty texts and items match
+Items and texts are split by one rule: at Unicode white space, and around each character of a
+script that is written without blanks. Words are lower-cased and lose their outer punctuation. Null and empty texts and items match
 nothing; an item of one sentence is all question; repeated rows give one row for each pair.
 """
 
@@ -50,6 +51,12 @@ SHARD_WORDS = 1 << 20
 KNOWN_WORDS = 1_000_000
 OUTER = re.compile(r"^[\W_]+|[\W_]+$")
 LAST_PART = re.compile(r"(?:\n|[.!?]\s)(?=[^\n]*\S)")
+# Thai, Lao, Tibetan, Myanmar, Khmer, Tai scripts, kana, bopomofo, Han
+UNSPACED = re.compile(
+    "[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u3005-\u3007\u3021-\u3029\u3031-\u3035"
+    "\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff"
+    "\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]"
+)
 
 HITS = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double"
 
@@ -58,8 +65,12 @@ def normal(word: str) -> str:
     return OUTER.sub("", word.lower())
 
 
+def split(text: str) -> list[str]:
+    return (text if text.isascii() else UNSPACED.sub(r" \g<0> ", text)).split()
+
+
 def terms_of(text: str) -> list[str]:
-    return [w for w in map(normal, text.split()) if w]
+    return [w for w in map(normal, split(text)) if w]
 
 
 def parts_of(text: str) -> tuple[list[str], list[str]]:
@@ -174,26 +185,26 @@ class Matcher:
 
     def __init__(self, index: Index, min_score: float, min_overlap: float):
         self.index, self.min_score, self.min_overlap = index, min_score, min_overlap
-        self.known: dict[bytes, int] = {}
+        self.known: dict[str, int] = {}
 
-    def _ids(self, words: list[bytes]) -> np.ndarray:
+    def _ids(self, words: list[str]) -> np.ndarray:
         """Term of each word, -1 for others; words that are nothing but signs go."""
         found = list(map(self.known.get, words))
         if None in found:
             new = {}
             for word, t in zip(words, found):
                 if t is None and word not in new:
-                    term = normal(word.decode())
+                    term = normal(word)
                     new[word] = self.index.terms.get(term, -1) if term else -2
             found = [new[w] if t is None else t for w, t in zip(words, found)]
             if len(self.known) < KNOWN_WORDS:
                 self.known.update(new)
         return np.array(found, np.int64)
 
-    def match(self, texts: list[bytes]) -> list[list[tuple[int, float, float, float]]]:
+    def match(self, texts: list[str]) -> list[list[tuple[int, float, float, float]]]:
         """(item, score, question overlap, answer overlap) of every text."""
         index, out = self.index, [[] for _ in texts]
-        lists = [t.split() for t in texts]
+        lists = [split(t) for t in texts]
         ids = self._ids(list(chain.from_iterable(lists)))
         text_of = np.repeat(np.arange(len(texts)), [len(x) for x in lists])
         text_of, ids = text_of[ids > -2], ids[ids > -2]
@@ -245,7 +256,7 @@ def _match(index, min_score: float, min_overlap: float):
         names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]
         types = [pa.int64(), pa.int64()] + [pa.float64()] * 3
         for rows in arrow.slices(batches):
-            ids, found = rows.column("doc_id").to_pylist(), matcher.match(arrow.raw(rows.column("text")))
+            ids, found = rows.column("doc_id").to_pylist(), matcher.match(arrow.texts(rows.column("text")))
             hits = [
                 (doc_id, index.value.item_ids[k], round(s, 6), q, a)
                 for doc_id, own in zip(ids, found)

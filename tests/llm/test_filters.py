@@ -264,7 +264,7 @@ def leak_pairs(items, docs):
     df = collections.Counter(w for _, q, a in parts for w in set(q + a))
     index = decontaminate.Index(parts, df, len(parts), sum(len(q) + len(a) for _, q, a in parts) / len(parts))
     matcher = decontaminate.Matcher(index, decontaminate.MIN_SCORE, decontaminate.MIN_OVERLAP)
-    return [{items[k][0] for k, *_ in found} for found in matcher.match([d.encode() for d in docs])]
+    return [{items[k][0] for k, *_ in found} for found in matcher.match(docs)]
 
 
 def test_cut_and_edited_leaks():
@@ -282,3 +282,16 @@ def test_cut_and_edited_leaks():
         "is it" + noise,
     ]
     assert leak_pairs(items, docs) == [{1}, {1}, {2}, set(), set(), set()]
+
+
+def test_leaks_with_any_white_space_and_without_blanks():
+    item = [f"w{k}" for k in range(20)]
+    han = "".join(chr(0x4E00 + 37 * k) for k in range(40))
+    items = [(1, " ".join(item)), (2, han + "。"), (3, "\u30ab\u30bf\u30ab\u30ca" + "".join(chr(0x3041 + 2 * k) for k in range(30)))]
+    docs = [
+        "noise " * 30 + "\u00a0".join(item[:10]) + "\u2009" + "\u3000".join(item[10:]),
+        "".join(chr(0x6000 + k) for k in range(60)) + han + "".join(chr(0x7000 + k) for k in range(60)),
+        "noise" + items[2][1] + "noise",
+        han[:6] + " noise" * 30,
+    ]
+    assert leak_pairs(items, docs) == [{1}, {2}, {3}, set()]

@@ -250,19 +250,19 @@ class Matcher:
         return out
 
 
-def _match(index, min_score: float, min_overlap: float):
+def _match(index, min_score: float, min_overlap: float, keys: list[str]):
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(index.value, min_score, min_overlap)
-        names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]
-        types = [pa.int64(), pa.int64()] + [pa.float64()] * 3
+        names = [*keys, "item_id", "score", "question_overlap", "answer_overlap"]
+        types = [pa.int64()] * (len(keys) + 1) + [pa.float64()] * 3
         for rows in arrow.slices(batches):
-            ids, found = rows.column("doc_id").to_pylist(), matcher.match(arrow.texts(rows.column("text")))
+            ids, found = list(zip(*[rows.column(k).to_pylist() for k in keys])), matcher.match(arrow.texts(rows.column("text")))
             hits = [
-                (doc_id, index.value.item_ids[k], round(s, 6), q, a)
-                for doc_id, own in zip(ids, found)
+                (*key, index.value.item_ids[k], round(s, 6), q, a)
+                for key, own in zip(ids, found)
                 for k, s, q, a in own
             ]
-            columns = list(zip(*hits)) or [[]] * 5
+            columns = list(zip(*hits)) or [[]] * len(names)
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     return match
@@ -282,9 +282,18 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE, min_overlap: float = MIN_OVERLAP
+    docs: DataFrame,
+    benchmark: DataFrame,
+    min_score: float = MIN_SCORE,
+    min_overlap: float = MIN_OVERLAP,
+    more_keys: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row for each document and test item it contains; see ``HITS``."""
+    """One row for each document and test item it contains; see ``HITS``.
+
+    ``more_keys`` are bigint columns that tell documents apart besides the id; they follow it.
+    """
+    keys = ["doc_id", *more_keys]
+    schema = HITS.replace("item_id", "".join(f"{k} bigint, " for k in more_keys) + "item_id", 1)
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text").mapInArrow(
         _items, "item_id bigint, question array<string>, answer array<string>"
@@ -293,9 +302,9 @@ def find_leaks(
     items = materialise(items.withColumn("n", F.size(words)).where("n > 0"), "items")
     total = items.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
     n_items, n_words = total[0], total[1] or 0
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(*keys, "text")
     if not n_items:
-        return docs.where(F.lit(False)).mapInArrow(lambda batches: batches, HITS)
+        return docs.sparkSession.createDataFrame([], schema)
     df = items.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").count()
     df = materialise(df, "item-terms")
     shards = max(-(-n_items // SHARD_ITEMS), -(-n_words // SHARD_WORDS))
@@ -308,10 +317,10 @@ def find_leaks(
         if rows:
             index = Index(rows, {r["term"]: r["count"] for r in terms}, n_items, n_words / n_items)
             index = spark.sparkContext.broadcast(index)
-            found.append(docs.mapInArrow(_match(index, min_score, min_overlap), HITS))
-    hits = reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id")
+            found.append(docs.mapInArrow(_match(index, min_score, min_overlap, keys), schema))
+    hits = reduce(DataFrame.unionByName, found).groupBy(*keys, "item_id")
     best = hits.agg(F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("best"))
-    return best.select("doc_id", "item_id", "best.*")
+    return best.select(*keys, "item_id", "best.*")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

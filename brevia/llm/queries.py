@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from brevia.llm import (
     bpe_codec,
     decontaminate,
+    importance_resampling,
     jaccard_join,
     kn_quality,
     line_dedup,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         line_dedup.op8_line_dedup,
         substring_dedup.op9_substring_dedup,
         kn_quality.op10_kn_quality,
+        importance_resampling.op13_importance_resampling,
     )
 }
 ORACLE_SQL: dict[str, str] = {

@@ -46,6 +46,8 @@ SEED = "2024"
 # Words of the automaton, none longer than LONGEST bytes: about a megabyte to broadcast.
 DICTIONARY = 1 << 16
 LONGEST = 48
+# Bytes the automaton reads at once; a longer text is read in pieces cut at blanks.
+PIECE = 1 << 21
 # Distinct words a task holds before it hands its counts on.
 HELD = 1 << 18
 
@@ -109,10 +111,24 @@ class WordScanner:
     def payloads(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """CRC and size of every word of delimited ``texts`` in order, and words per text."""
         joined = b" " + b" ".join(texts) + b" "
-        found = list(self.automaton.iter(joined.decode("latin-1"))) if len(self.automaton) else []
-        flat = np.array(found, np.int64).reshape(-1, 2)
-        stop, crc, size = flat[:, 0], flat[:, 1] >> 16, flat[:, 1] & 0xFFFF
         filled = np.frombuffer(joined, np.uint8) != 0x20
+        first = filled.copy()
+        first[1:] &= ~filled[:-1]
+        begins = np.cumsum([1] + [len(t) + 1 for t in texts])[:-1]
+        counts = np.add.reduceat(first, begins, dtype=np.int64)
+        found, begin = [], 0
+        while begin + 1 < len(joined):
+            end = joined.find(b" ", min(begin + PIECE, len(joined) - 1))
+            found.append(self._piece(joined[begin : end + 1], filled[begin : end + 1]))
+            begin = end
+        crc, size = (np.concatenate(c) for c in zip(*found))
+        return crc, size, counts
+
+    def _piece(self, joined: bytes, filled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Payloads of the words of a piece that begins and ends with a blank."""
+        matches = list(self.automaton.iter(joined.decode("latin-1"))) if len(self.automaton) else []
+        flat = np.array(matches, np.int64).reshape(-1, 2)
+        stop, crc, size = flat[:, 0], flat[:, 1] >> 16, flat[:, 1] & 0xFFFF
         before = np.concatenate([[0], np.cumsum(filled)])
         # words of no dictionary lie between a match and the next
         begin, end = np.append(0, stop), np.append(stop - size, len(joined))
@@ -121,11 +137,7 @@ class WordScanner:
         at = np.repeat(gaps, [len(m) for m in missed])
         words = [w for m in missed for w in m]
         crc = np.insert(crc, at, [zlib.crc32(w) for w in words]).astype(np.uint32)
-        size = np.insert(size, at, [len(w) for w in words])
-        first = filled & np.concatenate([[True], ~filled[:-1]])
-        bounds = np.cumsum([1] + [len(t) + 1 for t in texts])
-        upto = np.concatenate([[0], np.cumsum(first)])[bounds]
-        return crc, size, np.diff(upto)
+        return crc, np.insert(size, at, [len(w) for w in words])
 
 
 def run_buckets(

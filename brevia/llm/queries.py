@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from brevia.llm import (
     bpe_codec,
     decontaminate,
+    filter_audit,
     importance_resampling,
     jaccard_join,
     kn_quality,
@@ -33,10 +34,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         line_dedup.op8_line_dedup,
         substring_dedup.op9_substring_dedup,
         kn_quality.op10_kn_quality,
+        filter_audit.op11_filter_audit,
         importance_resampling.op13_importance_resampling,
     )
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filters": url_filters.SQL,
     "op8_line_dedup": line_dedup.SQL,
+    "op11_filter_audit": filter_audit.SQL,
 }

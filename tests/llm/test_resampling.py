@@ -79,6 +79,18 @@ def test_composed_crcs():
     assert got.tolist() == [zlib.crc32(x + y) for x, y in pairs]
 
 
+def test_pieces_of_a_long_text(monkeypatch):
+    rng = random.Random(2)
+    texts = [b" ".join(rng.choice([b"ab", b"c", b"longer", b"rare%d" % k]) for k in range(500)), b"", b"  x " * 40]
+    texts = [ir.delimited(t) for t in texts]
+    scanner = ir.WordScanner([b"ab", b"c", b"x"])
+    whole = scanner.payloads(texts)
+    monkeypatch.setattr(ir, "PIECE", 37)
+    for a, b in zip(whole, scanner.payloads(texts)):
+        assert a.tolist() == b.tolist()
+    assert whole[2].tolist() == [len(t.split()) for t in texts]
+
+
 def test_drawn_rows_keep_their_columns(spark, table):
     docs, target = rows()
     goal = spark.createDataFrame([(t,) for t in target], "text string")

@@ -16,6 +16,7 @@ from brevia.llm import (
     line_dedup,
     lz_fingerprint,
     substring_dedup,
+    suffix_dedup,
     token_counts,
     token_files,
     url_filters,
@@ -35,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         substring_dedup.op9_substring_dedup,
         kn_quality.op10_kn_quality,
         filter_audit.op11_filter_audit,
+        suffix_dedup.op12_suffix_dedup,
         importance_resampling.op13_importance_resampling,
     )
 }

@@ -42,10 +42,10 @@ from brevia.llm.words import mix
 from brevia.session import discard, materialise
 
 WINDOW = 200
-GRAM = 64
+GRAM = 132
 # Passage bytes of a shard, and passages of one anchor that stay in one shard.
 SHARD_BYTES = 1 << 21
-SHARD_PASSAGES = 2_048
+SHARD_PASSAGES = 6_144
 # Windows a task of the merge gets on average.
 RUN_ROWS = 1 << 19
 # Rows of equal texts a task remembers, so that it reads each of them once.
@@ -101,6 +101,10 @@ def anchors(data: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.nd
     return at, hashes[at]
 
 
+# An anchor of a text, as it is stored; a text is shorter than 2 GB.
+_CELL = np.dtype([("at", "<i4"), ("anchor", "<i8"), ("passage", "<i8")])
+
+
 def _keys(rows: pa.RecordBatch) -> list[tuple[int, int]]:
     return list(zip(rows.column("h1").to_pylist(), rows.column("h2").to_pylist()))
 
@@ -122,8 +126,9 @@ def _scan(window: int, gram: int):
                 at, hashes = anchors(np.frombuffer(text, np.uint8), window, gram)
                 view, digest = memoryview(text), xxhash.xxh3_64_intdigest
                 passages = [digest(view[max(0, p - left) : p + right]) for p in at.tolist()]
-                cells = np.stack([at.astype(np.int64), hashes.view(np.int64), np.array(passages, np.uint64).view(np.int64)])
-                out.append(cells.T.tobytes())
+                cells = np.empty(len(at), _CELL)
+                cells["at"], cells["anchor"], cells["passage"] = at, hashes.view(np.int64), np.array(passages, np.uint64).view(np.int64)
+                out.append(cells.tobytes())
             yield pa.record_batch(
                 {
                     "h1": rows.column("h1"),
@@ -142,11 +147,11 @@ OCCURRENCES = "h1 bigint, h2 bigint, n_bytes bigint, n bigint, at bigint, anchor
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cells = batch.column("cells").to_pylist()
-        counts = np.array([len(c) // 24 for c in cells], np.int64)
-        flat = np.frombuffer(b"".join(cells), np.int64).reshape(-1, 3)
+        counts = np.array([len(c) // _CELL.itemsize for c in cells], np.int64)
+        flat = np.frombuffer(b"".join(cells), _CELL)
         names = ["h1", "h2", "n_bytes", "n"]
         out = {c: np.repeat(batch.column(c).to_numpy(), counts) for c in names}
-        yield pa.record_batch(out | {c: pa.array(flat[:, k]) for k, c in enumerate(("at", "anchor", "passage"))})
+        yield pa.record_batch(out | {c: pa.array(flat[c].astype(np.int64)) for c in _CELL.names})
 
 
 PASSAGES = "anchor bigint, passage bigint, n bigint, subs int, t1 bigint, begin bigint, bytes binary"
@@ -178,14 +183,18 @@ def _cut_passages(window: int, gram: int):
     return cut
 
 
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, zeros beyond the end."""
+    padded = np.concatenate([data, np.zeros(7, np.uint8)])
+    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    return np.ascontiguousarray(words).view(">u8").reshape(-1).astype(np.uint64)
+
+
 def suffix_order(data: np.ndarray) -> np.ndarray:
     """The suffix array of ``data``, which should end with a byte found nowhere else."""
     n = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
-    rank = np.zeros(n, np.uint64)
-    for k in range(8):
-        rank = (rank << np.uint64(8)) | padded[k : n + k]
-    order = np.argsort(rank, kind="stable")
+    rank = eight_bytes(data)
+    order = np.argsort(rank)
     head = np.ones(n, bool)
     head[1:] = rank[order[1:]] != rank[order[:-1]]
     place = np.empty(n + 1, np.int64)
@@ -203,7 +212,7 @@ def suffix_order(data: np.ndarray) -> np.ndarray:
         group = place[suffix]
         further = place[np.minimum(suffix + done, n)] + 1
         code = (group.astype(np.uint64) << np.uint64(32)) | further.astype(np.uint64)
-        by = np.argsort(code, kind="stable")
+        by = np.argsort(code)
         suffix, code = suffix[by], code[by]
         order[slots] = suffix
         new = np.ones(len(slots), bool)
@@ -223,16 +232,15 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
 
     Kasai's scan goes by text position, and a suffix shares at least what the one a byte
     earlier shared, less one. Every ``LANE`` bytes a lane begins anew; all lanes take their
-    next step together.
+    next step together and compare eight bytes at once.
     """
     n = len(data)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     shared = np.zeros(n, np.int64)
+    words = np.append(eight_bytes(data), np.zeros(1, np.uint64))
     lanes = np.arange(0, n, LANE)
     length = np.zeros(len(lanes), np.int64)
-    # beyond the end stand values that no two suffixes share
-    wide = np.concatenate([data.astype(np.int16), np.full(8, -1, np.int16)])
     for step in range(min(LANE, n)):
         at = lanes + step
         if at[-1] >= n:
@@ -242,14 +250,24 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
         live = np.flatnonzero((other >= 0) & (length < most))
         while len(live):
             a, b = at[live] + length[live], other[live] + length[live]
-            same = (np.maximum(a, b) < n) & (wide[np.minimum(a, n)] == wide[np.minimum(b, n)])
-            live = live[same]
-            length[live] += 1
-            live = live[length[live] < most]
-        shared[at] = length
+            differ = words[np.minimum(a, n)] ^ words[np.minimum(b, n)]
+            # equal leading bytes, none of them beyond the end
+            alike = np.where(differ == 0, 8, (64 - _bits(differ)) >> 3)
+            alike = np.minimum(alike, n - np.maximum(a, b))
+            length[live] += alike
+            live = live[(alike == 8) & (length[live] < most)]
+        shared[at] = np.minimum(length, most)
     return shared[order]
 
 
+def _bits(x: np.ndarray) -> np.ndarray:
+    """Bits up to the highest that is set."""
+    x = x.copy()
+    for k in (1, 2, 4, 8, 16, 32):
+        x |= x >> np.uint64(k)
+    return np.bitwise_count(x).astype(np.int64)
+
+
 def equal_windows(passages: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(passage, place, group) of all windows, equal windows in one group."""
     # no UTF-8 text has the byte 0xFF, so no window reaches the end of the data

@@ -21,6 +21,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 PAGE_ELEMENTS = ("title", "script", "style")
 # Size of the term list that stands in for a topic model where SQL must define it.
 FREQUENT_TERMS = 50
+# Rounds of the topic models whose results SQL checks.
+TOPIC_ROUNDS = 3
 # Part of speech that stands for each role in the derived lexicon.
 ROLE_POS = {"user": "noun", "assistant": "verb", "system": "adverb"}
 
@@ -405,42 +407,89 @@ def representative_docs(spark: SparkSession, d: str) -> DataFrame:
 # topic models
 
 
-def _cluster_topics(spark: SparkSession, d: str) -> DataFrame:
+def _corpus_bag(spark: SparkSession, d: str) -> DataFrame:
+    return topics.corpus_bag(stats.term_freq(_terms(spark, d)))
+
+
+def _exact_rounds(rounds: int) -> dict:
+    """Settings that make a fit end after so many rounds, whatever it has reached."""
+    return {"max_iter": rounds, "tolerance": -1.0}
+
+
+def _corpus_rounds(spark: SparkSession, d: str, rounds: int = TOPIC_ROUNDS) -> topics.Topics:
+    return topics.corpus_topics(stats.term_freq(_terms(spark, d)), **_exact_rounds(rounds))
+
+
+def _cluster_rounds(spark: SparkSession, d: str) -> topics.Topics:
+    """Topics of the documents nearest to the centres, after rounds that SQL can follow."""
+    docs = src.table(spark, d, "documents").select("doc_id", "text")
+    assignment = materialise(kmeans_l1_rounds(spark, d), "assignment")
+    return phases.topics_of_clusters(docs, assignment, **_exact_rounds(TOPIC_ROUNDS))
+
+
+def lda_cluster_topics(spark: SparkSession, d: str) -> DataFrame:
     vectors = materialise(_vectors(spark, d), "vectors")
     _, assignment = clustering.kmeans(vectors, clustering.seeds(vectors, seed=1))
     docs = src.table(spark, d, "documents").select("doc_id", "text")
     return phases.topics_of_clusters(docs, assignment).terms
 
 
-def _corpus_topics(spark: SparkSession, d: str) -> DataFrame:
+def lda_corpus_topics(spark: SparkSession, d: str) -> DataFrame:
     return topics.corpus_topics(stats.term_freq(_terms(spark, d))).terms
 
 
-def lda_cluster_topics(spark: SparkSession, d: str) -> DataFrame:
-    return _cluster_topics(spark, d)
+def _term_topics(model: topics.Topics) -> DataFrame:
+    counts = F.array(*[F.round(f"t{j}", 6) for j in range(len(model.totals))])
+    return model.counts.select("term", F.posexplode(counts).alias("topic", "n"))
 
 
-def lda_corpus_topics(spark: SparkSession, d: str) -> DataFrame:
-    return _corpus_topics(spark, d)
+def lda_cvb0_step(spark: SparkSession, d: str) -> DataFrame:
+    """Expected counts of each term and topic after one round from the hashed starts."""
+    return _term_topics(_corpus_rounds(spark, d, 1))
+
+
+def lda_cvb0_rounds(spark: SparkSession, d: str) -> DataFrame:
+    return _term_topics(_corpus_rounds(spark, d))
+
+
+def lda_likelihood_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """Log-likelihood a token before each of three rounds."""
+    rows = [(r, round(x, 6)) for r, x in enumerate(_corpus_rounds(spark, d).likelihood)]
+    return spark.createDataFrame(rows, "round int, likelihood double")
+
+
+def lda_prior_update(spark: SparkSession, d: str) -> DataFrame:
+    """The document prior after one step from the hashed starts."""
+    k, alpha = topics.CORPUS_TOPICS, topics.CORPUS_ALPHA
+    cells = topics.starting_cells(_corpus_bag(spark, d), k)
+    new = topics.updated_prior(topics.topic_counts(cells, "doc_id", "d", k), [alpha] * k)
+    return spark.createDataFrame([(j, round(a, 6)) for j, a in enumerate(new)], "topic int, alpha double")
+
+
+def lda_topic_terms(spark: SparkSession, d: str) -> DataFrame:
+    return _corpus_rounds(spark, d).terms
+
+
+def lda_cluster_terms(spark: SparkSession, d: str) -> DataFrame:
+    return _cluster_rounds(spark, d).terms
 
 
 def lda_corpus_terms(spark: SparkSession, d: str) -> DataFrame:
-    return topics.distinct_terms(_corpus_topics(spark, d))
+    return topics.distinct_terms(_corpus_rounds(spark, d).terms)
 
 
 def topic_term_counts_lda(spark: SparkSession, d: str) -> DataFrame:
-    found = topics.distinct_terms(_corpus_topics(spark, d))
-    return ranking.topic_term_counts(_terms(spark, d), found)
+    return ranking.topic_term_counts(_terms(spark, d), lda_corpus_terms(spark, d))
 
 
 def topic_term_counts_cluster(spark: SparkSession, d: str) -> DataFrame:
-    found = topics.distinct_terms(_cluster_topics(spark, d))
+    found = topics.distinct_terms(_cluster_rounds(spark, d).terms)
     return ranking.topic_term_counts(_terms(spark, d), found)
 
 
 def lda_corpus_shape(spark: SparkSession, d: str) -> DataFrame:
     """Terms and ranks of each topic, and how many of its terms no document has."""
-    found = _corpus_topics(spark, d)
+    found = lda_corpus_topics(spark, d)
     words = word_count(spark, d).select(F.lower("term").alias("term")).distinct()
     known = words.withColumn("known", F.lit(1))
     return (
@@ -460,11 +509,11 @@ def summary_topics_frequent(spark: SparkSession, d: str) -> DataFrame:
 
 
 def summary_topics_cluster(spark: SparkSession, d: str) -> DataFrame:
-    return phases.topic_summary(_clean(spark, d), _cluster_topics(spark, d))
+    return phases.topic_summary(_clean(spark, d), _cluster_rounds(spark, d).terms)
 
 
 def summary_topics_corpus(spark: SparkSession, d: str) -> DataFrame:
-    return phases.topic_summary(_clean(spark, d), topics.distinct_terms(_corpus_topics(spark, d)))
+    return phases.topic_summary(_clean(spark, d), lda_corpus_terms(spark, d))
 
 
 def _vector_sizes(vectors: DataFrame) -> DataFrame:
@@ -526,6 +575,12 @@ QUERIES: dict[str, Query] = {
         representative_docs,
         lda_cluster_topics,
         lda_corpus_topics,
+        lda_cvb0_step,
+        lda_cvb0_rounds,
+        lda_likelihood_rounds,
+        lda_prior_update,
+        lda_topic_terms,
+        lda_cluster_terms,
         lda_corpus_terms,
         topic_term_counts_lda,
         topic_term_counts_cluster,

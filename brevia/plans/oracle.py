@@ -140,6 +140,80 @@ def _rounds(n: int) -> str:
     return head + ",\n".join(parts) + f"\nSELECT doc_id, cluster, distance FROM assigned{n}"
 
 
+def _cvb0(bag: str, k: int, alpha: float, beta: float, rounds: int, seed: int = 0) -> str:
+    """Subqueries of a topic model: cells g, counts t and d, totals a and likelihood l of each round."""
+    hexes = f"substr(md5(concat_ws(' ', '{seed}', doc_id, term, j // 4)), 8 * (j % 4)::INT + 1, 8)"
+    parts = [
+        f"""draws AS (SELECT doc_id, term, n, j::INT AS topic, ('0x' || {hexes})::BIGINT + 1.0::DOUBLE AS x
+            FROM {bag}, range({k}) r(j))""",
+        """g0 AS MATERIALIZED (SELECT doc_id, term, n, topic, x / sum(x) OVER (PARTITION BY doc_id, term) AS g
+            FROM draws)""",
+    ]
+    for r in range(rounds + 1):
+        parts += [
+            f"t{r} AS MATERIALIZED (SELECT term, topic, sum(n * g) AS t FROM g{r} GROUP BY term, topic)",
+            f"""d{r} AS MATERIALIZED (SELECT doc_id, topic, sum(n * g) AS d,
+                sum(sum(n * g)) OVER (PARTITION BY doc_id) AS length FROM g{r} GROUP BY doc_id, topic)""",
+            f"""a{r} AS MATERIALIZED (SELECT topic, sum(t) AS a, count(*) * {beta} AS spread
+                FROM t{r} GROUP BY topic)""",
+        ]
+        if r < rounds:
+            parts += [
+                f"""x{r} AS MATERIALIZED (SELECT doc_id, term, n, topic,
+                    (t - g + {beta}) * (d - g + {alpha}) / (a - g + spread) AS x,
+                    (t + {beta}) / (a + spread) * (d + {alpha}) / (length + {k * alpha}) AS p
+                    FROM g{r} JOIN t{r} USING (term, topic) JOIN d{r} USING (doc_id, topic) JOIN a{r} USING (topic))""",
+                f"""l{r} AS (SELECT {r}::INT AS round, round(sum(n * ln(p)) / sum(n), 6) AS likelihood FROM (
+                    SELECT n, sum(p) AS p FROM x{r} GROUP BY doc_id, term, n))""",
+                f"""g{r + 1} AS MATERIALIZED (SELECT doc_id, term, n, topic,
+                    x / sum(x) OVER (PARTITION BY doc_id, term) AS g FROM x{r})""",
+            ]
+    return ",\n".join(parts)
+
+
+def _topic_terms(rounds: int, beta: float, top_n: int) -> str:
+    return f"""topic_terms AS MATERIALIZED (SELECT topic, (row_number() OVER (
+        PARTITION BY topic ORDER BY weight DESC, term) - 1)::INT AS rank, term, weight FROM (
+        SELECT topic, term, round((t + {beta}) / (a + spread), 9) AS weight
+        FROM t{rounds} JOIN a{rounds} USING (topic))
+        QUALIFY row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) <= {top_n})"""
+
+
+def _letter_set() -> str:
+    """The distinct letter terms of ``topic_terms``."""
+    return f"""topic_set AS MATERIALIZED (SELECT DISTINCT w AS term FROM (SELECT unnest(regexp_extract_all(
+        regexp_replace(term, '{NON_LETTER}', ' ', 'g'), '{TOKEN}')) AS w FROM topic_terms)
+        WHERE lower(w) NOT IN ({_stop()}))"""
+
+
+def _corpus_model(rounds: int) -> str:
+    """The building blocks up to the corpus model, without a tail."""
+    bag = "bag AS MATERIALIZED (SELECT doc_id, lower(term) AS term, sum(n)::BIGINT AS n FROM tf GROUP BY ALL)"
+    model = _cvb0("bag", 4, 0.5, 0.01, rounds)
+    return ",\n".join([_with("clean", "counts", "tf").rstrip("\n"), bag, model, _topic_terms(rounds, 0.01, 50), _letter_set()])
+
+
+def _cluster_model(letters: str, rounds: int) -> str:
+    """The building blocks up to the model of representative documents, without a tail."""
+    clusters = _rounds(3).rsplit("\nSELECT ", 1)[0]
+    clusters = clusters.replace(_with("weights").rstrip("\n"), _with("weights", "clean", "counts").rstrip("\n"))
+    reps = """reps AS (SELECT doc_id FROM assigned3
+        QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY distance, doc_id) <= 5)"""
+    bag = f"""bag AS MATERIALIZED (SELECT doc_id, term, count(*) AS n FROM (
+        SELECT doc_id, lower(unnest(regexp_extract_all(regexp_replace(text, '{letters}', '', 'g'), '{LETTER_RUN}')))
+        AS term FROM documents SEMI JOIN reps USING (doc_id))
+        WHERE term NOT IN ({_stop()}) GROUP BY doc_id, term)"""
+    model = _cvb0("bag", 50, 1.0, 0.01, rounds, seed=5)
+    return ",\n".join([clusters, reps, bag, model, _topic_terms(rounds, 0.01, 15), _letter_set()])
+
+
+def _digamma(x: str) -> str:
+    y = f"({x} + 6.0::DOUBLE)"
+    z = f"(1 / ({y} * {y}))"
+    steps = " - ".join(f"1 / ({x} + {i}.0::DOUBLE)" for i in range(6))
+    return f"(ln({y}) - 0.5 / {y} - {z} * (1 / 12.0::DOUBLE - {z} * (1 / 120.0::DOUBLE - {z} / 252.0::DOUBLE)) - {steps})"
+
+
 def oracle_sql() -> dict[str, str]:
     stop = _stop()
     elements = "|".join([*(f"<{e}>.*?</{e}>" for e in PAGE_ELEMENTS), "<[^>]+>"])
@@ -239,6 +313,33 @@ def oracle_sql() -> dict[str, str]:
                 AND 10 * least(len(a.g), len(b.g)) >= 8 * greatest(len(a.g), len(b.g)))
             SELECT score, sentence FROM best WHERE sentence NOT IN (
                 SELECT sentence FROM shared WHERE s > 0 AND s >= 0.8 * (m - s))""",
+        "lda_cvb0_step": _corpus_model(1) + "\nSELECT term, topic, round(t, 6) AS n FROM t1",
+        "lda_cvb0_rounds": _corpus_model(3) + "\nSELECT term, topic, round(t, 6) AS n FROM t3",
+        "lda_likelihood_rounds": _corpus_model(3)
+        + "\nSELECT * FROM l0 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l2",
+        "lda_prior_update": _corpus_model(0)
+        + f"""\nSELECT topic, round(0.5::DOUBLE * sum({_digamma("(d + 0.5::DOUBLE)")} - {_digamma("0.5::DOUBLE")})
+            / sum({_digamma("(length + 2.0::DOUBLE)")} - {_digamma("2.0::DOUBLE")}), 6) AS alpha
+            FROM d0 GROUP BY topic""",
+        "lda_topic_terms": _corpus_model(3) + "\nSELECT topic, rank, term, weight FROM topic_terms",
+        "lda_cluster_terms": _cluster_model(letters, 3) + "\nSELECT topic, rank, term, weight FROM topic_terms",
+        "lda_corpus_terms": _corpus_model(3) + "\nSELECT term FROM topic_set",
+        "topic_term_counts_lda": _corpus_model(3)
+        + "\nSELECT term, n FROM counts WHERE term IN (SELECT term FROM topic_set)",
+        "topic_term_counts_cluster": _cluster_model(letters, 3)
+        + "\nSELECT term, n FROM counts WHERE term IN (SELECT term FROM topic_set)",
+        "summary_topics_corpus": _near_dup_of(
+            _corpus_model(3),
+            """SELECT DISTINCT sentence FROM clean SEMI JOIN (SELECT doc_id, pos FROM (
+            SELECT doc_id, pos, unnest(tokens) AS term FROM clean) SEMI JOIN topic_set USING (term))
+            USING (doc_id, pos) WHERE sentence <> ''""",
+        ),
+        "summary_topics_cluster": _near_dup_of(
+            _cluster_model(letters, 3),
+            """SELECT DISTINCT sentence FROM clean SEMI JOIN (SELECT doc_id, pos FROM (
+            SELECT doc_id, pos, unnest(tokens) AS term FROM clean) SEMI JOIN topic_terms USING (term))
+            USING (doc_id, pos) WHERE sentence <> ''""",
+        ),
         "cluster_seeds": _with("weights").rstrip("\n")
         + ",\n"
         + _SPARSE
@@ -270,8 +371,16 @@ def _near_dup(source: str, *names: str) -> str:
     With shingles ranked rarest first, sets with Jaccard >= 0.8 share at least 12 of
     their first ``m - ceil(0.8 m) + 12`` ones, or all they must share if that is less.
     """
+    return _near_dup_of(_with("clean", *names).rstrip("\n"), source, "")
+
+
+def _near_dup_of(
+    head: str,
+    source: str,
+    tail: str = "SELECT sentence FROM profiled WHERE sentence NOT IN (SELECT sentence FROM dropped)",
+) -> str:
     return (
-        _with("clean", *names).rstrip("\n")
+        head
         + f""",
         distinct_sentences AS ({source}),
         profiled AS (SELECT row_number() OVER (ORDER BY sentence) AS id, sentence,
@@ -289,5 +398,5 @@ def _near_dup(source: str, *names: str) -> str:
         shared AS (SELECT x.sentence, len(x.g) + len(y.g) AS m, len(list_intersect(x.g, y.g)) AS s
             FROM pairs JOIN profiled x ON x.id = a JOIN profiled y ON y.id = b),
         dropped AS (SELECT DISTINCT sentence FROM shared WHERE s >= 0.8 * (m - s))
-        """
+        {tail}"""
     )

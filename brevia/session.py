@@ -10,7 +10,7 @@ import weakref
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -89,6 +89,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def observed(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """Write ``df`` and return it with aggregates taken on the way."""
+    seen = Observation()
+    written = materialise(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), name)
+    return written, seen.get
+
+
 _written: dict[int, tuple[weakref.ref, str]] = {}
 
 

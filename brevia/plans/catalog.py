@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from brevia.functions import shingles as sh
 from brevia.functions import text as tx
 from brevia.operators import clustering, dedup, lexicon, ranking, stats, topics
-from brevia.plans import phases
+from brevia.plans import manifest, phases
 from brevia.session import materialise, scratch_path
 from brevia.sources import documents as src
 from brevia.sources import sinks, tagged
@@ -110,6 +110,16 @@ def vector_sink_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return _vector_sizes(sinks.read_vectors(spark, path))
 
 
+def overwrite_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Counts read back from a folder that first held other lines and then the counts."""
+    path = scratch_path(spark, sinks.WORD_COUNT)
+    sinks.write_lines(ranking.distinct_sentences(_clean(spark, d)), "sentence", path)
+    sinks.write_pairs(stats.word_count(_terms(spark, d)), "term", "n", path)
+    return src.read_lines(spark, path).select(
+        F.col("key").alias("term"), F.col("value").cast("long").alias("n")
+    )
+
+
 # files, written from a table and scanned
 
 
@@ -388,6 +398,18 @@ def kmeans_l1_rounds(spark: SparkSession, d: str) -> DataFrame:
     return clustering.kmeans(vectors, clustering.seeds(vectors), delta=0.0, max_rounds=3)[1]
 
 
+def clustering_run(spark: SparkSession, d: str) -> DataFrame:
+    """Phase 2 from documents to assignment, three rounds from the first ids; run twice.
+
+    The second run takes every stage of the first.
+    """
+    out, settings = scratch_path(spark, "clustering"), {"seed": None, "delta": 0.0, "max_rounds": 3}
+    inputs = manifest.fingerprint(src.table(spark, d, "documents"))
+    for _ in range(2):
+        _, points = phases.run_clustering(_terms(spark, d), _n_docs(spark, d), out, inputs=inputs, **settings)
+    return points
+
+
 def cluster_representatives(spark: SparkSession, d: str) -> DataFrame:
     return clustering.representatives(_first_round(_vectors(spark, d))[2])
 
@@ -504,8 +526,13 @@ def lda_corpus_shape(spark: SparkSession, d: str) -> DataFrame:
 
 
 def summary_topics_frequent(spark: SparkSession, d: str) -> DataFrame:
-    """The topic summary with the most frequent terms in a topic model's place."""
-    return phases.topic_summary(_clean(spark, d), _frequent_terms(spark, d))
+    """The topic summary with the most frequent terms in a topic model's place.
+
+    Its sentences are taken from an index of all sentences, as those of the three summaries.
+    """
+    clean = _clean(spark, d)
+    index = dedup.SimilarityIndex(clean)
+    return phases.topic_summary(clean, _frequent_terms(spark, d), index=index)
 
 
 def summary_topics_cluster(spark: SparkSession, d: str) -> DataFrame:
@@ -533,6 +560,7 @@ QUERIES: dict[str, Query] = {
         text_sink_round_trip,
         line_sink_round_trip,
         vector_sink_round_trip,
+        overwrite_round_trip,
         tagged_file_round_trip,
         document_file_round_trip,
         strip_tags,
@@ -570,6 +598,7 @@ QUERIES: dict[str, Query] = {
         kmeans_l1_dense_update,
         kmeans_l1,
         kmeans_l1_rounds,
+        clustering_run,
         cluster_representatives,
         cluster_seed_representatives,
         representative_docs,

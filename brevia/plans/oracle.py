@@ -227,6 +227,7 @@ def oracle_sql() -> dict[str, str]:
             FROM pages)""",
         "corpus_size": "SELECT count(*) AS n_docs FROM documents",
         "text_sink_round_trip": _with("counts") + "SELECT term, n FROM counts",
+        "overwrite_round_trip": _with("counts") + "SELECT term, n FROM counts",
         "line_sink_round_trip": _with("clean")
         + "SELECT DISTINCT sentence FROM clean WHERE sentence <> ''",
         "vector_sink_round_trip": _with("weights")
@@ -353,6 +354,7 @@ def oracle_sql() -> dict[str, str]:
             _DENSE, "SELECT cluster, term AS idx, w FROM means", "means"
         ),
         "kmeans_l1_rounds": _rounds(3),
+        "clustering_run": _rounds(3),
         "cluster_seed_representatives": _clustered(
             _SPARSE,
             "SELECT seeds.cluster::INT AS cluster, 1::INT AS rank, doc_id, distance "

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brevia.operators import clustering, dedup, lexicon, ranking, stats, topics
+from brevia.plans import manifest
 from brevia.session import materialise
 from brevia.sources import documents as src
 from brevia.sources import sinks
@@ -43,18 +44,30 @@ def ranked_summary(
     threshold: float = 0.8,
     stop_words: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Phase 4: the best sentences without near-duplicates, with their scores."""
+    """Phase 4: the best sentences without near-duplicates, with their scores.
+
+    ``k`` sentences are profiled; no index of the corpus is needed.
+    """
     best = materialise(ranking.top_sentences(scores, sents, k, stop_words=stop_words), "top")
     kept = dedup.remove_near_duplicates(best, threshold)
     return best.join(kept, "sentence", "left_semi").select("score", "sentence")
 
 
 def topic_summary(
-    clean: DataFrame, topic_terms: DataFrame, threshold: float = 0.8, case_sensitive: bool = True
+    clean: DataFrame,
+    topic_terms: DataFrame,
+    threshold: float = 0.8,
+    case_sensitive: bool = True,
+    index: dedup.SimilarityIndex | None = None,
 ) -> DataFrame:
-    """Phase 4: sentences that hit a topic term, without near-duplicates."""
+    """Phase 4: sentences that hit a topic term, without near-duplicates.
+
+    With an ``index`` of the corpus' sentences the chosen ones are taken from it.
+    """
     chosen = ranking.topic_sentences(clean, topic_terms, case_sensitive)
-    return dedup.remove_near_duplicates(chosen, threshold)
+    if index is None:
+        return dedup.remove_near_duplicates(chosen, threshold)
+    return index.survivors(chosen.select("sentence").distinct(), threshold)
 
 
 def run_word_statistics(terms: DataFrame, lexicon_table: DataFrame, out: str) -> DataFrame:
@@ -66,27 +79,44 @@ def run_word_statistics(terms: DataFrame, lexicon_table: DataFrame, out: str) ->
 
 
 def run_clustering(
-    terms: DataFrame, n_docs, out: str, k: int = clustering.CLUSTERS, seed: int = 1
+    terms: DataFrame,
+    n_docs,
+    out: str,
+    k: int = clustering.CLUSTERS,
+    seed: int | None = 1,
+    delta: float = clustering.DELTA,
+    max_rounds: int = clustering.MAX_ROUNDS,
+    inputs: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Phase 2: every stage is written once and the next one reads it back."""
-
-    def stage(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{out}/{name}")
-        return df.sparkSession.read.schema(df.schema).parquet(f"{out}/{name}")
-
-    tf = stage(stats.term_freq(terms), sinks.TERM_FREQ)
-    shares = stage(stats.term_share(tf), sinks.TERM_SHARE)
-    weights = stage(stats.tfidf(shares, n_docs), sinks.TFIDF)
-    vocab = materialise(topics.vocabulary(weights), "terms")
-    sinks.write_vectors(
-        weights.join(vocab, "term").select("doc_id", "idx", F.col("tfidf").alias("w")),
-        vocab.count(),
-        f"{out}/{sinks.VECTORS}",
-    )
+    """Phase 2: every stage is written once and the next one reads it back.
+
+    With ``inputs``, a fingerprint of the input (:func:`manifest.fingerprint`), a run that
+    begins again with the same folder and settings takes finished stages as they are.
+    """
+    spark = terms.sparkSession
+    stages = manifest.Stages(spark, out, inputs)
+    tf = stages.table(sinks.TERM_FREQ, lambda: stats.term_freq(terms))
+    shares = stages.table(sinks.TERM_SHARE, lambda: stats.term_share(tf))
+    weights = stages.table(sinks.TFIDF, lambda: stats.tfidf(shares, n_docs))
+
+    def write_vectors(path: str) -> None:
+        vocab = materialise(topics.vocabulary(weights), "terms")
+        indexed = weights.join(vocab, "term").select("doc_id", "idx", F.col("tfidf").alias("w"))
+        sinks.write_vectors(indexed, vocab.count(), path)
+
+    stages.files(sinks.VECTORS, write_vectors)
     vectors = stats.vectors(weights)
-    chosen = stage(clustering.seeds(vectors, k, seed), sinks.SEEDS)
-    centres, assignment = clustering.kmeans(vectors, chosen, k)
-    return stage(centres, f"{sinks.KMEANS}/centres"), stage(assignment, f"{sinks.KMEANS}/points")
+    chosen = stages.table(sinks.SEEDS, lambda: clustering.seeds(vectors, k, seed), k=k, seed=seed)
+    fitted: list[DataFrame] = []
+
+    def fit(which: int) -> DataFrame:
+        if not fitted:
+            fitted.extend(clustering.kmeans(vectors, chosen, k, delta, max_rounds))
+        return fitted[which]
+
+    rounds = {"delta": delta, "max_rounds": max_rounds}
+    centres = stages.table(f"{sinks.KMEANS}/centres", lambda: fit(0), **rounds)
+    return centres, stages.table(f"{sinks.KMEANS}/points", lambda: fit(1), **rounds)
 
 
 def run_topics(terms: DataFrame, topic_terms: DataFrame, provider: str, out: str) -> DataFrame:
@@ -106,14 +136,15 @@ def run_summaries(
     out: str,
     stop_words: Iterable[str] | None = None,
 ) -> dict[str, str]:
-    """Phase 4: the three summaries as value-only text."""
+    """Phase 4: the three summaries as value-only text, chosen from one similarity index."""
     clean = src.clean(sents, stop_words)
+    index = dedup.SimilarityIndex(clean)
     best = materialise(ranking.top_sentences(scores, sents, stop_words=stop_words), "top")
     sinks.write_pairs(best, "score", "sentence", f"{out}/{sinks.TOP_SENTENCES}", sep="@")
     summaries = {
-        "top_rank_doc": dedup.remove_near_duplicates(best),
-        "cluster_topics_doc": topic_summary(clean, cluster_terms),
-        "corpus_topics_doc": topic_summary(clean, corpus_terms),
+        "top_rank_doc": index.survivors(best.select("sentence").distinct()),
+        "cluster_topics_doc": topic_summary(clean, cluster_terms, index=index),
+        "corpus_topics_doc": topic_summary(clean, corpus_terms, index=index),
     }
     return {
         name: sinks.write_lines(df, "sentence", f"{out}/{name}/{sinks.FILTERED}")

@@ -189,3 +189,26 @@ def test_a_hot_term_or_document_is_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_bounds_spare_documents_and_change_nothing(spark):
+    rng = random.Random(8)
+    centres = [[rng.uniform(-9, 9) for _ in range(6)] for _ in range(4)]
+    points = {i: [c + rng.gauss(0, 1.5) for c in centres[i % 4]] for i in range(120)}
+    rows = [(i, t, w) for i, v in points.items() for t, w in enumerate(v)]
+    vectors = spark.createDataFrame(rows, "doc_id long, term int, w double")
+    joined = []
+    _, got = clustering.kmeans(vectors, clustering.seeds(vectors, 4), 4, delta=0.0, max_rounds=8, joined=joined)
+
+    def nearest(v, cs):
+        return min(range(4), key=lambda j: (round(sum(abs(a - b) for a, b in zip(v, cs[j])), 9), j))
+
+    cs = [points[i] for i in range(4)]
+    for _ in range(8):
+        own = {i: nearest(v, cs) for i, v in points.items()}
+        for j in range(4):
+            members = [points[i] for i, c in own.items() if c == j]
+            cs[j] = [sum(x) / len(members) for x in zip(*members)] if members else cs[j]
+    want = {i: nearest(v, cs) for i, v in points.items()}
+    assert {r.doc_id: r.cluster for r in got.collect()} == want
+    assert joined[0] == len(rows) and joined[-1] < joined[0] / 2

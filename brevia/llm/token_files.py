@@ -29,6 +29,7 @@ from brevia.session import scratch_path
 
 END_ID = 1
 CHUNK_IDS = 1 << 16
+START = 64
 VOCABULARY = "word_bpe_49k.json"
 CHUNKS = (
     "part int, first bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, "
@@ -72,7 +73,8 @@ def _encoder(path: str, end_id: int):
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID) -> None:
     """Writes the token files of ``docs`` (doc_id, text) to ``path``."""
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id")
+    # ranges by the start of the text too, so that rows with one id, or none, are many ranges
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", F.substring("text", 1, START))
     ordered = ordered.sortWithinPartitions("doc_id", "text")
     chunks = ordered.mapInArrow(_encoder(vocabulary, end_id), CHUNKS)
     chunks.write.option("compression", "none").parquet(path)

@@ -2,7 +2,7 @@
 
 Natural text repeats its words, and a tokeniser library spends most of its time on
 words it has met before. A unit is encoded by the library once per process and looked up
-afterwards. A table of ``LIMIT`` units takes no more: later ones are encoded where they
+afterwards, once for all its places in a slice. A table of ``LIMIT`` units takes no more: later ones are encoded where they
 occur and forgotten, so memory stays bounded and frequent words stay known.
 """
 
@@ -12,9 +12,10 @@ import os
 import re
 from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 LIMIT = 600_000
 WORDS = 1_000_000
@@ -71,7 +72,7 @@ class WordUnits:
     def __init__(self, path: str):
         self.library = library(path)
         self.model = self.library.model
-        self.known: dict[bytes, int] = {}
+        self.known: dict[str, int] = {}
         self.words: dict[str, bytes] = {}
         self.signs: dict[str, bytes] = {"": b""}
         self.ids = np.empty(0, np.uint32)
@@ -97,10 +98,9 @@ class WordUnits:
                 self.signs[signs] = ids
         return ids
 
-    def _learn(self, units: list[bytes]) -> None:
-        strings = [u.decode() for u in units]
-        parts = list(map(WORD.fullmatch, strings))
-        rest = [u for u, m in zip(strings, parts) if m is None]
+    def _learn(self, units: list[str]) -> None:
+        parts = list(map(WORD.fullmatch, units))
+        rest = [u for u, m in zip(units, parts) if m is None]
         rest_ids = iter(self._whole(rest) if rest else ())
         ids = [
             next(rest_ids) if m is None else self._word(m[1].lower()) + self._signs(m[2])
@@ -113,26 +113,29 @@ class WordUnits:
         self.lens = np.concatenate([self.lens, lens])
         self.ids = np.concatenate([self.ids, new])
 
-    def _forget(self, units: list[bytes], n_units: int, n_ids: int) -> None:
+    def _forget(self, units: list[str], n_units: int, n_ids: int) -> None:
         for u in units:
             del self.known[u]
         self.ids, self.starts = self.ids[:n_ids], self.starts[:n_units]
         self.lens = self.lens[:n_units]
 
     def _encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [t.split() for t in texts]
-        flat = list(chain.from_iterable(parts))
-        at = list(map(self.known.get, flat))
+        # blanks at the ends of a text give empty units, which have no ids
+        parts = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        flat = parts.values.dictionary_encode()
+        units = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = list(map(self.known.get, units))
         n_units, n_ids, new = len(self.known), len(self.ids), []
         if None in at:
-            new = list({u for u, i in zip(flat, at) if i is None})
+            new = [u for u, i in zip(units, at) if i is None]
             self._learn(new)
-            at = list(map(self.known.__getitem__, flat))
-        at = np.array(at, np.int64)
+            later = iter(range(n_units, n_units + len(new)))
+            at = [next(later) if i is None else i for i in at]
+        at = np.array(at, np.int64)[flat.indices.to_numpy()]
         lens = self.lens[at]
         ids = gather(self.ids, self.starts[at], lens)
         ends = np.concatenate([[0], np.cumsum(lens)])
-        per_text = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+        per_text = parts.offsets.to_numpy()
         if len(self.known) > LIMIT:
             self._forget(new, n_units, n_ids)
         return ids, np.diff(ends[per_text])

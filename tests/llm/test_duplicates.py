@@ -31,11 +31,21 @@ def family(seed=5, groups=6, members=7):
     ]
 
 
-def components_of(rows, percent, size=5):
-    sets = {}
-    for i, t in rows:
-        w = (t or "").encode().lower().split()
-        sets[i] = {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} if w else set()
+def shingles_of(text, size=5):
+    w = (text or "").encode().lower().split()
+    return frozenset(tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))) if w else frozenset()
+
+
+def degrees_of(rows, percent):
+    """Of every row the number of other sets that its set links with."""
+    sets = {shingles_of(t) for _, t in rows}
+    linked = lambda a, b: a != b and a & b and 100 * len(a & b) >= percent * len(a | b)
+    count = {a: sum(bool(linked(a, b)) for b in sets) for a in sets}
+    return sorted((i, count[shingles_of(t)]) for i, t in rows)
+
+
+def components_of(rows, percent):
+    sets = {i: shingles_of(t) for i, t in rows}
     parent = {i: i for i in sets}
 
     def root(x):
@@ -53,12 +63,46 @@ def components_of(rows, percent, size=5):
     return sorted((i, len(sets[i]), root(i)) for i, _ in rows)
 
 
-@pytest.mark.parametrize("percent", [50, 80, 100])
-def test_jaccard_components(table, percent):
-    rows = family()
+@pytest.mark.parametrize("percent, tile", [(50, 256), (80, 256), (80, 2), (100, 256)])
+def test_jaccard_components_and_degrees(table, monkeypatch, percent, tile):
+    monkeypatch.setattr(jaccard_join, "TILE", tile)
+    monkeypatch.setattr(jaccard_join, "BLOCK", tile)
+    rows = family() + list(enumerate(one_group(), 2000))
     found = jaccard_join.JaccardJoin(table(rows), percent=percent).membership()
-    got = sorted(tuple(r) for r in found.select("doc_id", "n_shingles", "component_id").collect())
-    assert got == components_of(rows, percent)
+    got = sorted(tuple(r) for r in found.select("doc_id", "n_shingles", "component_id", "n_links").collect())
+    expected = [(*x, n) for x, (_, n) in zip(components_of(rows, percent), degrees_of(rows, percent))]
+    assert got == expected
+
+
+def one_group(seed=9, members=40):
+    """Copies of a text at distances around the threshold, from the text and from each other."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(500)}" for _ in range(150)]
+    out = []
+    for m in range(members):
+        text = list(base)
+        for _ in range(m % 9):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(9)}"
+        out.append(" ".join(text[: len(text) - m % 5]))
+    return out
+
+
+def test_repeated_ids_join_the_components_of_their_texts(table):
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, "other words than these five")]
+    for order in (rows, rows[::-1]):
+        found = jaccard_join.JaccardJoin(table(order)).membership().select("doc_id", "component_id", "n_links")
+        assert sorted(map(tuple, found.collect())) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 4, 0)]
+
+
+def test_overlaps_in_strips(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(jaccard_join, "STRIP", 7)
+    rng = np.random.default_rng(4)
+    x, y = ([np.unique(np.append(rng.integers(0, 60, 30), [70, 71])).astype(np.uint64) for _ in range(k)] for k in (4, 5))
+    expected = [[len(np.intersect1d(a, b)) for b in y] for a in x]
+    assert jaccard_join.overlaps(x, y).tolist() == expected
 
 
 def test_jaccard_null_ids_and_empty_table(table):

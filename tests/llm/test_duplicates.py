@@ -102,7 +102,8 @@ def test_overlaps_in_strips(monkeypatch):
     rng = np.random.default_rng(4)
     x, y = ([np.unique(np.append(rng.integers(0, 60, 30), [70, 71])).astype(np.uint64) for _ in range(k)] for k in (4, 5))
     expected = [[len(np.intersect1d(a, b)) for b in y] for a in x]
-    assert jaccard_join.overlaps(x, y).tolist() == expected
+    flat = [f for side in (x, y) for f in (np.concatenate(side), np.array(list(map(len, side))))]
+    assert jaccard_join.overlaps(*flat).tolist() == expected
 
 
 def test_jaccard_null_ids_and_empty_table(table):

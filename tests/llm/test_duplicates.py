@@ -67,6 +67,7 @@ def components_of(rows, percent):
 def test_jaccard_components_and_degrees(table, monkeypatch, percent, tile):
     monkeypatch.setattr(jaccard_join, "TILE", tile)
     monkeypatch.setattr(jaccard_join, "BLOCK", tile)
+    monkeypatch.setattr(jaccard_join, "SHORT", 1 if tile == 2 else 16)
     rows = family() + list(enumerate(one_group(), 2000))
     found = jaccard_join.JaccardJoin(table(rows), percent=percent).membership()
     got = sorted(tuple(r) for r in found.select("doc_id", "n_shingles", "component_id", "n_links").collect())

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brevia.operators import topics
+from brevia.operators import stats, topics
+from brevia.sources import documents as src
 
 
 def bag_rows(seed=2, docs=30):
@@ -119,3 +120,13 @@ def test_empty_bag(spark):
     none = spark.createDataFrame([], "doc_id long, term string, n long")
     model = topics.fit_topics(none, 2, 3)
     assert model.terms.count() == 0 and model.vocabulary_size == 0 and model.likelihood == []
+
+
+def test_rows_dealt_by_document_are_counted_without_an_exchange(spark):
+    docs = spark.createDataFrame([(1, "Red red\nblue"), (1, "green"), (None, "red")], "doc_id long, text string")
+    tf = stats.term_freq(src.terms(src.sentences(src.by_document(docs))))
+    bag = topics.corpus_bag(tf)
+    rows = [(r.doc_id, r.term, r.n) for r in bag.collect()]
+    assert sorted(rows, key=str) == sorted([(1, "red", 2), (1, "blue", 1), (1, "green", 1), (None, "red", 1)], key=str)
+    plan = bag._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange") == 1

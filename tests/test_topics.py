@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brevia.operators import stats, topics
+from brevia.session import materialise, observed
 from brevia.sources import documents as src
 
 
@@ -122,6 +123,14 @@ def test_empty_bag(spark):
     assert model.terms.count() == 0 and model.vocabulary_size == 0 and model.likelihood == []
 
 
+def test_a_fit_writes_cells_only_for_a_further_round(spark, bag, monkeypatch):
+    written = []
+    monkeypatch.setattr(topics, "materialise", lambda df, name: (written.append(name), materialise(df, name))[1])
+    monkeypatch.setattr(topics, "observed", lambda df, name, m: (written.append(name), observed(df, name, m))[1])
+    topics.fit_topics(bag, 3, 5, max_iter=2, tolerance=-1.0)
+    assert written.count("cells") == 1 and written.count("docs") == 2
+
+
 def test_rows_dealt_by_document_are_counted_without_an_exchange(spark):
     docs = spark.createDataFrame([(1, "Red red\nblue"), (1, "green"), (None, "red")], "doc_id long, text string")
     tf = stats.term_freq(src.terms(src.sentences(src.by_document(docs))))

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from brevia.functions import shingles as sh
 from brevia.operators import clustering, ranking, stats
 from brevia.session import as_dealt, bucketed, buckets, materialise
 from brevia.sources import documents as src
@@ -64,3 +65,24 @@ def test_rounds_by_block(spark, docs):
         near = clustering._nearest_two(vectors, wide, [F.lit(1.0)] * 5, clustering._block_terms(vectors), buckets(vectors))
         plan = near._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning(block" in plan and "Exchange hashpartitioning(doc_id" not in plan
+
+
+def test_shingles_as_arrays(spark, monkeypatch):
+    texts = ["abcabc", "ab", "", None, "a\t \nb  c", "żółć 😀😀😀x", "aaaa", "abcabd", "cafés"]
+    rows = [(i, a, b) for i, (a, b) in enumerate(zip(texts, texts[3:] + texts[:3]))]
+    df = spark.createDataFrame(rows, "k int, a string, b string").repartition(1)
+    for size in (1, 8, sh.SLICE):
+        monkeypatch.setattr(sh, "SLICE", size)
+        pairs = [p for p in sh._slices([texts, texts])]
+        assert [i for p in pairs for i in range(p.start, p.stop)] == list(range(len(texts)))
+    a, b = (sh.shingle_codes(F.col(c)) for c in "ab")
+    sizes = [F.when(F.col(c).isNull(), 0).otherwise(F.size(x)) for c, x in zip("ab", (a, b))]
+    both = F.when(F.col("a").isNull() | F.col("b").isNull(), 0).otherwise(F.size(F.array_intersect(a, b)))
+    ascii_only = df.where("k NOT IN (2, 5)")  # split cuts characters outside the plane in two
+    want = ascii_only.select("k", *[x.cast("long").alias(n) for x, n in zip([*sizes, both], ("size_a", "size_b", "shared"))])
+    assert _sorted(sh.compared(ascii_only), "k", "size_a", "size_b", "shared") == _sorted(want, "k", "size_a", "size_b", "shared")
+    want = df.select(F.explode(sh.char_shingles(F.col("a"))).alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
+    found = sh.shingle_counts(df.select("a"))
+    assert _sorted(found, "shingle", "n") == _sorted(want, "shingle", "n")
+    # counted before the exchange: no array of shingles in the plan
+    assert "array_distinct" not in found._jdf.queryExecution().toString()

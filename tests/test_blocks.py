@@ -1,11 +1,13 @@
 """Tables in buckets of blocks give what the tables dealt by document give."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from brevia.functions import shingles as sh
-from brevia.operators import clustering, ranking, stats
-from brevia.session import as_dealt, bucketed, buckets, materialise
+from brevia.operators import clustering, ranking, stats, topics
+from brevia.session import as_dealt, bucketed, buckets, discard, materialise
 from brevia.sources import documents as src
 
 WORDS = "alpha Beta beta2 gamma delta x1 x2 the of epsilon zeta_1 eta theta".split()
@@ -86,3 +88,21 @@ def test_shingles_as_arrays(spark, monkeypatch):
     assert _sorted(found, "shingle", "n") == _sorted(want, "shingle", "n")
     # counted before the exchange: no array of shingles in the plan
     assert "array_distinct" not in found._jdf.queryExecution().toString()
+
+
+def test_topic_rounds_by_block_exchange_no_cells(spark, docs, monkeypatch):
+    plans, gone = [], []
+    watch = lambda df, *more: (plans.append(df._jdf.queryExecution().executedPlan().toString()), bucketed(df, *more))[1]
+    monkeypatch.setattr(topics, "bucketed", watch)
+    monkeypatch.setattr(topics, "discard", lambda *tables: (gone.extend(f for t in tables for f in t.inputFiles()), discard(*tables)))
+    plain = stats.term_freq(src.terms(src.sentences(docs)))
+    dealt, n = src.by_block(docs)
+    by_block = stats.term_freq(src.terms(src.sentences(dealt), keys=("block", "doc_id")))
+    settings = {"k": 3, "top_n": 4, "max_iter": 3, "tolerance": -1.0, "prior_every": 2}
+    old, new = topics.corpus_topics(plain, **settings), topics.corpus_topics(by_block, buckets=n, **settings)
+    columns = ["term", *[F.round(f"t{j}", 9).alias(f"t{j}") for j in range(3)]]
+    assert _sorted(new.counts, *columns) == _sorted(old.counts, *columns)
+    assert new.likelihood == pytest.approx(old.likelihood) and new.alpha == pytest.approx(old.alpha)
+    # terms out of a block and back, and the documents' counts, but not the cells
+    assert len(plans) == 2 and all("REPARTITION_BY_COL" not in p and "Bucketed: true" in p for p in plans)
+    assert gone and not [f for f in gone if os.path.exists(f.removeprefix("file://"))]

@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,15 +45,46 @@ SHARD_PASSAGES = 4_096
 NO_ID = -(1 << 63)
 
 
+_BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b" " * 5)
+# a word's hash is the sum of its bytes' values times powers of an odd number, so one sum
+# over all bytes gives those of all words
+_BYTE = words.mix(np.arange(1, 257, dtype=np.uint64))
+_BASE = 0x9E3779B97F4A7C15
+
+
+def spaced(text: bytes) -> bytes:
+    """The words of a text, joined by one blank."""
+    text = text.translate(_BLANKS).strip(b" ")
+    return b" ".join(text.split()) if b"  " in text else text
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base from 0 on, and those of its inverse, modulo 2^64."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        factors = np.full(n, base, np.uint64)
+        factors[:1] = 1
+        out.append(np.cumprod(factors, dtype=np.uint64))
+    return out[0], out[1]
+
+
 class Slice:
     """Words, windows and anchors of a slice of rows, as arrays over all its words."""
 
     def __init__(self, rows: pa.RecordBatch, window: int, gram: int):
-        self.lists = [t.split() for t in arrow.raw(rows.column("text"))]
-        self.hashes, ends = words.flat(self.lists)
-        sizes = np.array([len(x) for x in self.lists], np.int64)
-        self.starts = ends - sizes
-        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+        self.texts = [spaced(t) for t in arrow.raw(rows.column("text"))]
+        self.data = b" ".join(self.texts) + b" "
+        chars = np.frombuffer(self.data, np.uint8)
+        blank = chars == 32
+        before = np.append(True, blank[:-1])
+        # first byte of every word, and the blank after it
+        self.begin, self.end = np.flatnonzero(~blank & before), np.flatnonzero(blank & ~before)
+        self.hashes = self._hashes(chars)
+        tops = np.cumsum([len(t) + 1 for t in self.texts]).astype(np.int64)
+        self.sizes = np.diff(np.searchsorted(self.begin, tops), prepend=0)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
         grams, span = words.grams(self.hashes, gram), window - gram + 1
         n = max(0, len(self.hashes) - window + 1)
         self.place = np.empty(0, np.int64)
@@ -62,18 +94,36 @@ class Slice:
         self.valid = self.doc[:n] == self.doc[len(self.doc) - n :]
         self.anchor = grams[self.place]
 
+    def _hashes(self, chars: np.ndarray) -> np.ndarray:
+        up, down = _powers(1 << max(21, len(chars).bit_length()))
+        sums = np.append(np.uint64(0), np.cumsum(_BYTE[chars] * up[: len(chars)], dtype=np.uint64))
+        return words.mix((sums[self.end] - sums[self.begin]) * down[self.begin])
+
     def fresh(self, mask: np.ndarray) -> np.ndarray:
         """Windows of ``mask`` that begin a run with one anchor and without a gap."""
         new, doc = mask.copy(), self.doc[: len(mask)]
         new[1:] &= ~(mask[:-1] & (self.place[1:] == self.place[:-1]) & (doc[1:] == doc[:-1]))
         return new
 
+    def _keys(self, rows: pa.RecordBatch) -> np.ndarray:
+        """Hashes of the row and anchor of the row's ``anchors``."""
+        of = np.repeat(np.arange(len(rows)), rows.column("anchors").value_lengths().to_numpy())
+        return _joined(rows.column("anchors").flatten().to_numpy().view(np.uint64), of)
+
     def marked(self, rows: pa.RecordBatch) -> np.ndarray:
         """Valid windows whose anchor is among the row's ``anchors``."""
-        of = np.repeat(np.arange(len(rows)), rows.column("anchors").value_lengths().to_numpy())
-        hits = rows.column("anchors").flatten().to_numpy().view(np.uint64)
-        join = lambda anchor, doc: words.mix(anchor ^ words.mix(doc.astype(np.uint64) + np.uint64(1)))
-        return self.valid & np.isin(join(self.anchor, self.doc[: len(self.anchor)]), join(hits, of))
+        return self.valid & np.isin(_joined(self.anchor, self.doc[: len(self.anchor)]), self._keys(rows))
+
+    def salts(self, rows: pa.RecordBatch, at: np.ndarray) -> np.ndarray:
+        """The row's ``salts`` for the anchors of marked windows."""
+        keys = self._keys(rows)
+        by = np.argsort(keys)
+        found = by[np.searchsorted(keys[by], _joined(self.anchor[at], self.doc[at]))]
+        return rows.column("salts").flatten().to_numpy()[found].astype(np.int64)
+
+
+def _joined(anchor: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    return words.mix(anchor ^ words.mix(doc.astype(np.uint64) + np.uint64(1)))
 
 
 def _scan(window: int, gram: int):
@@ -87,8 +137,8 @@ def _scan(window: int, gram: int):
                 "id": rows.column("id"),
                 "h1": rows.column("h1"),
                 "h2": rows.column("h2"),
-                "n_words": pa.array([len(x) for x in own.lists], pa.int64()),
-                "digest": pa.array([hashlib.sha256(b" ".join(x)).digest() for x in own.lists], pa.binary()),
+                "n_words": pa.array(own.sizes, pa.int64()),
+                "digest": pa.array([hashlib.sha256(t).digest() for t in own.texts], pa.binary()),
                 "anchors": pa.ListArray.from_arrays(offsets, words.signed(own.anchor[new])),
             }
             yield pa.record_batch(out)
@@ -152,50 +202,50 @@ def _passages(window: int, gram: int, confirmed, sourced):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in arrow.slices(batches):
-            own, out = Slice(rows, window, gram), []
+            own = Slice(rows, window, gram)
             w = words.signed(words.grams(own.hashes, window, 1))
             likely = own.marked(rows) & passes(confirmed.value, w)
-            ids, h1, h2 = (rows.column(c).to_pylist() for c in ("id", "h1", "h2"))
-            salts, hits, anchors = rows.column("salts"), rows.column("anchors"), words.signed(own.anchor)
-            own_id = rows.column("id").to_numpy()[own.doc[: len(w)]]
-            source = likely & passes(sourced.value, _sourced(w, own_id))
-            doc_known, known = -1, {}
+            ids, h1, h2 = (rows.column(c).to_numpy() for c in ("id", "h1", "h2"))
+            source = likely & passes(sourced.value, _sourced(w, ids[own.doc[: len(w)]]))
             for kind, mask in ((0, source), (1, likely)):
                 at, begin = np.flatnonzero(mask), np.flatnonzero(own.fresh(mask))
-                stop = at[np.append(np.searchsorted(at, begin)[1:], len(at)) - 1] + 1 if len(at) else at
-                for a, b in zip(begin.tolist(), stop.tolist()):
-                    d = int(own.doc[a])
-                    if d != doc_known:
-                        doc_known, known = d, dict(zip(hits[d].as_py(), salts[d].as_py()))
-                    anchor, first = int(anchors[a]), a - int(own.starts[d])
-                    n = known[anchor]
-                    text = b" ".join(own.lists[d][first : first + b - a + window - 1]).decode()
-                    out.append((kind, ids[d], h1[d], h2[d], anchor, h1[d] % n, n, first, text))
-            columns = list(zip(*out)) or [[]] * len(_PASSAGE_TYPES)
-            names = [c.split()[0] for c in PASSAGES.split(", ")]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, _PASSAGE_TYPES)], names=names)
+                if not len(at):
+                    continue
+                last = at[np.append(np.searchsorted(at, begin)[1:], len(at)) - 1]
+                d, n = own.doc[begin], own.salts(rows, begin)
+                ends = zip(own.begin[begin].tolist(), own.end[last + window - 1].tolist())
+                text = pa.array([own.data[a:b] for a, b in ends], pa.binary()).cast(pa.string())
+                columns = [np.full(len(d), kind), ids[d], h1[d], h2[d], words.signed(own.anchor)[begin]]
+                columns += [h1[d] % n, n, begin - own.starts[d], text]
+                columns = [c if c is text else pa.array(c).cast(t) for c, t in zip(columns, _PASSAGE_TYPES)]
+                yield pa.record_batch(columns, names=[c.split()[0] for c in PASSAGES.split(", ")])
 
     return cut
 
 
 def _locate(window: int):
-    """Builds the automaton of a shard from its first rows and streams the others."""
+    """Builds the automaton of a shard from its first rows and streams the others.
+
+    Its letters are whole words, numbered as they come; a word of no pattern is 0.
+    """
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
 
-        shard, automaton, ready = None, None, False
+        shard, automaton, ready, numbers = None, None, False, {}
+        names = ("shard", "kind", "id", "h1", "h2", "at", "text")
         schema = pa.schema([(c, pa.int64()) for c in ("id", "h1", "h2", "begin", "stop")])
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
-                own_id = row["id"]
-                if row["shard"] != shard:
-                    shard, automaton, ready = row["shard"], ahocorasick.Automaton(), False
-                if row["kind"] == 0:
-                    tokens = row["text"].split(" ")
-                    for k in range(len(tokens) - window + 1):
-                        pattern = f" {' '.join(tokens[k : k + window])} "
+            for of, kind, own_id, h1, h2, at, text in zip(*[batch.column(c).to_pylist() for c in names]):
+                if of != shard:
+                    shard, ready, numbers = of, False, {}
+                    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+                tokens = text.split(" ")
+                if kind == 0:
+                    letters = tuple([numbers.setdefault(w, len(numbers) + 1) for w in tokens])
+                    for k in range(len(letters) - window + 1):
+                        pattern = letters[k : k + window]
                         if automaton.get(pattern, own_id) >= own_id:
                             automaton.add_word(pattern, own_id)
                     continue
@@ -204,18 +254,18 @@ def _locate(window: int):
                     ready = True
                 if not len(automaton):
                     continue
-                text, begin, stop = f" {row['text']} ", None, None
-                for last, first_id in automaton.iter(text):
+                letters, begin, stop = tuple([numbers.get(w, 0) for w in tokens]), None, None
+                for last, first_id in automaton.iter(letters):
                     if first_id >= own_id:
                         continue
-                    end = row["at"] + text.count(" ", 0, last)
+                    end = at + last + 1
                     if stop is None or end - window > stop:
                         if stop is not None:
-                            out.append((own_id, row["h1"], row["h2"], begin, stop))
+                            out.append((own_id, h1, h2, begin, stop))
                         begin = end - window
                     stop = end
                 if stop is not None:
-                    out.append((own_id, row["h1"], row["h2"], begin, stop))
+                    out.append((own_id, h1, h2, begin, stop))
             columns = list(zip(*out)) or [[]] * 5
             yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], schema=schema)
 

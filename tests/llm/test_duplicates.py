@@ -4,6 +4,8 @@ import collections
 import hashlib
 import random
 
+import ahocorasick
+import pyarrow as pa
 import pytest
 
 from brevia.llm import jaccard_join, line_dedup, substring_dedup
@@ -151,6 +153,41 @@ def test_repeated_passages(table, monkeypatch, rows):
     assert got == repeats_of(rows, 13)
 
 
+def test_words_and_hashes_of_a_slice():
+    texts = [" a\tbb  \u00a0c\r\n", None, "", "bb a " * 30, "\x0b\x0c", "x" * 5000 + " \u65e5\u672c ab ba a"]
+    rows = pa.record_batch({"text": pa.array(texts, pa.string())})
+    own = substring_dedup.Slice(rows, 13, 5)
+    words = [w for t in texts for w in (t or "").encode().split()]
+    assert [own.data[a:b] for a, b in zip(own.begin, own.end)] == words
+    assert own.sizes.tolist() == [len((t or "").encode().split()) for t in texts]
+    assert len(set(zip(words, own.hashes.tolist()))) == len(set(words)) == len(set(own.hashes.tolist()))
+
+
+def test_shards_stream_words_not_characters(monkeypatch):
+    automata, streamed = ahocorasick.Automaton, []
+
+    class Spy:
+        def __init__(self, *kind):
+            self.own = automata(*kind)
+
+        def __len__(self):
+            return len(self.own)
+
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+
+        def iter(self, letters):
+            streamed.append(len(letters))
+            return self.own.iter(letters)
+
+    monkeypatch.setattr(ahocorasick, "Automaton", Spy)
+    rows = [(0, 0, 1, 0, 0, 0, "aa bb cc dd"), (0, 1, 2, 0, 0, 7, "zz aa bb cc dd"), (1, 1, 2, 0, 0, 0, "aa bb cc")]
+    names = ["shard", "kind", "id", "h1", "h2", "at", "text"]
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=names)
+    found = [r for b in substring_dedup._locate(3)(iter([batch])) for r in b.to_pylist()]
+    assert [(r["id"], r["begin"], r["stop"]) for r in found] == [(2, 8, 12)] and streamed == [5]
+
+
 def test_null_id_is_the_smallest(table):
     text = " ".join(map(str, range(20)))
     found = substring_dedup.remove_repeats(table([(None, text), (-5, text), (-5, text + " more")])).collect()

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from brevia.plans import catalog
 from brevia.sources import documents as src
 from brevia.sources import sinks, tagged
 from brevia.session import checkpoint_dir, materialise, scratch_path
@@ -74,6 +75,29 @@ def test_files_with_one_base_name_stay_two_documents(spark, tmp_path):
     assert src.sentences(docs).count() == 4
 
 
+@pytest.mark.parametrize("own", [True, False])
+def test_document_files_keep_rows_with_one_id_apart(spark, tmp_path, monkeypatch, own):
+    rows = [(5, "a\nb"), (5, "a\nb"), (5, ""), (-7, "é\n"), (None, "none"), (3, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(src, "spread", lambda df: df.coalesce(1))
+    monkeypatch.setattr(sinks, "FOLDER_FILES", 2)
+    if not own:
+        monkeypatch.setattr(sinks, "_document_files", lambda root: (_ for _ in ()).throw(AssertionError))
+        monkeypatch.setattr(sinks, "MOUNTED", ())
+    found = [tuple(r) for r in catalog.document_file_round_trip(spark, str(tmp_path)).collect()]
+    key = lambda r: (str(r[0]), r[1])
+    assert sorted(found, key=key) == sorted([(i, x or "") for i, x in rows], key=key)
+
+
+def test_document_files_lie_in_folders_of_bounded_size(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("id AS doc_id", "'x' AS text").coalesce(1)
+    assert sinks.write_documents(rows, str(tmp_path / "d")) == 3000
+    sizes = [len(list(x.iterdir())) for x in (tmp_path / "d").iterdir()]
+    assert sorted(sizes) == [3000 - 2 * 1024, 1024, 1024]
+    assert sinks.write_documents(rows.where("doc_id < 0"), str(tmp_path / "none")) == 0
+    assert src.read_documents(spark, f"{tmp_path}/none/*").count() == 0
+
+
 def test_pair_and_line_sinks_replace_their_folder(spark, tmp_path):
     path = str(tmp_path / "out")
     for n in (1, 2):

@@ -77,6 +77,26 @@ def test_jaccard_components_and_degrees(table, monkeypatch, percent, tile):
     assert got == expected
 
 
+def test_jaccard_sets_are_sent_in_rounds(table, monkeypatch):
+    """Rounds give what one gives, each pair of tiles counted in one, and their sets are dropped behind them."""
+    monkeypatch.setattr(jaccard_join, "TILE", 2)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 2)
+    monkeypatch.setattr(jaccard_join, "SHORT", 1)
+    monkeypatch.setattr(jaccard_join, "ROUND_BYTES", 1)
+    names, gone = {}, []
+    write, drop = jaccard_join.materialise, jaccard_join.discard
+    monkeypatch.setattr(jaccard_join, "materialise", lambda df, name: names.setdefault(id(out := write(df, name)), (name, out))[1])
+    monkeypatch.setattr(jaccard_join, "discard", lambda *dfs: gone.append({names.get(id(x), ("",))[0] for x in dfs}) or drop(*dfs))
+    rows = family() + list(enumerate(one_group(), 2000))
+    found = jaccard_join.JaccardJoin(table(rows)).membership()
+    got = sorted(tuple(r) for r in found.select("doc_id", "n_shingles", "component_id", "n_links").collect())
+    assert got == [(*x, n) for x, (_, n) in zip(components_of(rows, 80), degrees_of(rows, 80))]
+    written = [name for name, _ in names.values()]
+    assert written.count("counted") == jaccard_join.ROUNDS
+    # the index and the lists are gone before sets are sent
+    assert {"indexed", "lists", "star-pairs"} <= set().union(*gone[: [i for i, x in enumerate(gone) if "filled" in x][0]])
+
+
 def one_group(seed=9, members=40):
     """Copies of a text at distances around the threshold, from the text and from each other."""
     rng = random.Random(seed)

@@ -2,6 +2,8 @@
 
 import os
 
+import numpy as np
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +108,50 @@ def test_topic_rounds_by_block_exchange_no_cells(spark, docs, monkeypatch):
     # terms out of a block and back, and the documents' counts, but not the cells
     assert len(plans) == 2 and all("REPARTITION_BY_COL" not in p and "Bucketed: true" in p for p in plans)
     assert gone and not [f for f in gone if os.path.exists(f.removeprefix("file://"))]
+
+
+def test_topic_rounds_by_block_write_one_table_each(spark, docs, monkeypatch):
+    names = []
+    for write, at in (("materialise", 1), ("observed", 1), ("bucketed", 3)):
+        old = getattr(topics, write)
+        monkeypatch.setattr(topics, write, lambda *a, old=old, at=at, **kw: (names.append(a[at]), old(*a, **kw))[1])
+    dealt, n = src.by_block(docs)
+    tf = stats.term_freq(src.terms(src.sentences(dealt), keys=("block", "doc_id")))
+    model = topics.corpus_topics(tf, k=3, top_n=4, max_iter=5, tolerance=-1.0, buckets=n)
+    assert len(model.likelihood) == 5 and names.count("cells") == 5 and "docs" not in names
+    assert len(names) <= 5 + 6
+
+
+def test_cells_as_arrays_in_parts(monkeypatch):
+    from brevia.operators import topic_blocks as tb
+
+    rng = np.random.default_rng(3)
+    g = rng.dirichlet(np.ones(3), 50).T
+    starts, own, at, n = np.array([0, 7, 30]), np.arange(10, 18) * 2**33, rng.integers(0, 8, 50), rng.integers(1, 5, 50)
+    t = tb._term_counts(at, n, g, 8)
+    want, ll = tb.moved(starts, at, n, g, t, t.sum(axis=1), [0.1, 0.2, 0.3], 0.01, 8)
+    doc = np.repeat([0, 1, 2], [7, 23, 20])
+    d = np.stack([np.bincount(doc, n * x) for x in g])
+    alpha = np.array([[0.1], [0.2], [0.3]])
+    x = (t[:, at] - g + 0.01) * (d[:, doc] - g + alpha) / (t.sum(axis=1)[:, None] - g + 0.08)
+    assert np.allclose(want, x / x.sum(axis=0)) and ll < 0
+    for part, size in ((9, 4), (1, 1), (1 << 20, 1 << 16)):
+        monkeypatch.setattr(tb, "PART", part)
+        monkeypatch.setattr(tb, "SLICE", size)
+        rows = tb._table(tb._cell_rows(4, starts, own, at.astype(np.int32), n, g)[::-1])
+        assert rows.num_rows == -(-50 // max(1, part // 3))
+        found = tb.cells_of(rows, 3)
+        assert all(np.allclose(a, b) for a, b in zip(found, (starts, own, at, n, g)))
+        again, ll2 = tb.moved(*(found[i] for i in (0, 2, 3, 4)), t, t.sum(axis=1), [0.1, 0.2, 0.3], 0.01, 8)
+        assert np.allclose(again, want) and ll2 == pytest.approx(ll)
+    for shards in (1, 3, 100):  # counts come back to the block whole, whatever the shards
+        rows = tb._table(tb._count_rows(4, own, t, shards, -2.0) + tb._count_rows(5, own[2:4], t[:, :2], shards))
+        idx, found = [], []
+        for shard in set(rows.column("shard").to_pylist()):
+            summed = tb._summed(3)(rows.filter(pc.equal(rows.column("shard"), shard)))
+            here = tb._counts_of(summed.filter(pc.equal(summed.column("block"), 4)), 3)
+            idx.append(here[0]), found.append(here[1])
+        by = np.argsort(np.concatenate(idx))
+        both = t.copy()
+        both[:, 2:4] += t[:, :2]
+        assert np.allclose(np.concatenate(found, axis=1)[:, by], both) and rows.column("ll").to_pylist().count(-2.0) == 1

@@ -155,3 +155,20 @@ def test_an_unset_folder_is_temporary_in_local_mode_only(monkeypatch):
 def test_sentences_are_lines(spark, text, n):
     docs = spark.createDataFrame([(0, text)], "doc_id long, text string")
     assert src.sentences(docs).count() == n
+
+
+def test_files_of_documents_are_listed_by_the_tasks(spark, tmp_path, monkeypatch):
+    rows = [(i, f"text {i}\n" * (i % 4)) for i in range(40)] + [(3, "again"), (None, None), (99, "żółć 😀")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(sinks, "FOLDER_FILES", 7)
+    found = catalog.document_file_round_trip(spark, str(tmp_path))
+    assert found.inputFiles() == []  # the driver knows no file
+    want = [(i, t or "") for i, t in rows]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+    folder = str(tmp_path / "d")
+    sinks.write_documents(spark.createDataFrame(rows, "doc_id long, text string"), folder)
+    with open(f"{folder}/{0:06d}-{0:06d}/doc_id=500", "wb") as out:
+        out.write(b"no utf-8: \xff\xfe")
+    columns = [F.regexp_replace("doc_id", "^file:/*", "/").alias("doc_id"), "name", F.hex("text").alias("text")]
+    a, b = (sorted(df.select(*columns).collect(), key=str) for df in (src.read_folders(spark, folder, 5), src.read_documents(spark, f"{folder}/*")))
+    assert a == b and len(a) == len(rows) + 1

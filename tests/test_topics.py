@@ -139,3 +139,25 @@ def test_rows_dealt_by_document_are_counted_without_an_exchange(spark):
     assert sorted(rows, key=str) == sorted([(1, "red", 2), (1, "blue", 1), (1, "green", 1), (None, "red", 1)], key=str)
     plan = bag._jdf.queryExecution().executedPlan().toString()
     assert plan.split("Initial Plan")[-1].count("Exchange") == 1
+
+
+def test_a_small_bag_is_fitted_by_one_task(spark, monkeypatch):
+    rows = bag_rows() + [(None, "red", 2), (None, "nobody", 1)]
+    bag = spark.createDataFrame(rows, "doc_id long, term string, n long")
+    names = []
+    monkeypatch.setattr(topics, "materialise", lambda df, name: (names.append(name), materialise(df, name))[1])
+    for more in ({"max_iter": 4, "prior_every": 2}, {"max_iter": 1}, {"max_iter": 3, "prior_every": 3}, {"max_iter": 40}):
+        settings = {"alpha": 0.7, "beta": 0.05, "seed": 7, "tolerance": 0.05 if more["max_iter"] == 40 else -1.0} | more
+        old = topics.fit_topics(bag, 6, 5, **settings)
+        names.clear()
+        new = topics.fit_topics(bag, 6, 5, together=1 << 20, **settings)
+        assert names == ["fit", "topics"]
+        assert new.likelihood == pytest.approx(old.likelihood) and new.alpha == pytest.approx(old.alpha)
+        assert new.totals == pytest.approx(old.totals) and new.vocabulary_size == old.vocabulary_size
+        by = lambda m: {r["term"]: [r[f"t{j}"] for j in range(6)] for r in m.counts.collect()}
+        a, b = by(old), by(new)
+        assert set(a) == set(b) and all(a[w] == pytest.approx(b[w], abs=1e-9) for w in a)
+        assert sorted(old.terms.select("topic", "rank", "term").collect()) == sorted(new.terms.select("topic", "rank", "term").collect())
+    names.clear()
+    topics.fit_topics(bag, 6, 5, together=10, max_iter=2, tolerance=-1.0)
+    assert "fit" not in names and "cells" in names

@@ -3,6 +3,7 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
@@ -155,3 +156,32 @@ def test_cells_as_arrays_in_parts(monkeypatch):
         both = t.copy()
         both[:, 2:4] += t[:, :2]
         assert np.allclose(np.concatenate(found, axis=1)[:, by], both) and rows.column("ll").to_pylist().count(-2.0) == 1
+
+
+def test_rounds_over_arrays(spark, docs, monkeypatch):
+    blocks = src.in_blocks(docs)
+    vectors = bucketed(stats.vectors(stats.block_weights(blocks, src.n_docs(docs))), "block", buckets(blocks), "vectors")
+    seeds = clustering.seeds(vectors.where("doc_id IS NOT NULL"))
+    want = [clustering.kmeans(vectors, seeds, delta=0.0, max_rounds=r) for r in (1, 4)]
+    monkeypatch.setattr(clustering, "ARRAY_ROUNDS", 1)
+    monkeypatch.setattr(clustering, "_tagged", lambda *a: (_ for _ in ()).throw(AssertionError))  # no join of entries
+    for rounds, old in zip((1, 4), want):
+        new = clustering.kmeans(vectors, seeds, delta=0.0, max_rounds=rounds)
+        assert _sorted(new[1], "doc_id", "cluster", "distance") == _sorted(old[1], "doc_id", "cluster", "distance")
+        w = F.round("w", 9).alias("w")
+        assert _sorted(new[0], "cluster", "term", w) == _sorted(old[0], "cluster", "term", w)
+
+
+def test_vectors_as_arrays_in_parts(monkeypatch):
+    from brevia.operators import vector_blocks as vb
+
+    monkeypatch.setattr(vb, "PART", 2)
+    kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), *[pa.binary()] * 4]
+    schema = pa.schema(list(zip(["block", "part", "docs", "starts", "own", "at", "w"], kinds)))
+    rows = pa.table({"doc_id": [7, None, 3, 7, None], "term": list("babca"), "w": [1.0, 2.0, 3.0, 4.0, 5.0]})
+    terms = pa.table({"block": pa.array([1, 1, 1], pa.int32()), "term": list("abc"), "idx": [30, 10, 20]})
+    found = vb._packed(schema)(rows, terms)
+    assert found.num_rows == 3
+    docs, starts, own, at, w = vb._entries(found.take([2, 0, 1]))
+    assert docs.to_pylist() == [7, None, 3] and starts.tolist() == [0, 2, 4] and own.tolist() == [10, 20, 30]
+    assert at.tolist() == [0, 1, 2, 2, 0] and w.tolist() == [1.0, 4.0, 2.0, 5.0, 3.0]
